@@ -1,0 +1,129 @@
+"""Stage functions of the daily runs (D1–D3, D8–D11) and the run entry points.
+
+Every stage takes an explicit ``run_date``; there is no wall-clock date anywhere, so a
+day can be re-run or back-filled. Each sink is one Spark action. Gold tables go to a
+``GoldWriter``: Parquet under a root by default, or any callable (for example
+``larder.sinks.jdbc.save_to_dwh`` bound to a warehouse URL).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .. import contracts
+from ..operators.registry import apply_transform
+from ..quality.checks import conform, rejected_rows
+from ..sinks import files as sinks
+from ..sources import files as src
+from . import marts
+
+GoldWriter = Callable[[DataFrame, str], None]
+
+
+@dataclass(frozen=True)
+class ShopLayout:
+    """Storage roots: ``bronze/<date>/<table>`` CSV snapshots, ``feed/day=<date>`` JSON,
+    ``silver/<table>`` Parquet, ``gold/<table>`` Parquet (when no warehouse writer)."""
+
+    bronze: str
+    feed: str
+    silver: str
+    gold: str
+
+    def silver_table(self, table: str) -> str:
+        return f"{self.silver.rstrip('/')}/{table}"
+
+
+def bronze_to_silver(
+    spark: SparkSession,
+    table: str,
+    bronze_path: str,
+    silver_path: str,
+    *,
+    rejects_date: dt.date | str | None = None,
+    multiline: bool = False,
+) -> None:
+    """D1 (and D3 with ``rejects_date``): declared CSV read -> named transform -> Parquet.
+
+    The silver table is fully overwritten (a snapshot), partitioned if its contract says
+    so. With ``rejects_date`` the rows of a second, schemaless read that did not reach
+    silver are written as CSV under ``<silver>_errors/<date>/rejected.csv``.
+    """
+    df = src.read_csv(spark, bronze_path, contracts.BRONZE[table], multiline=multiline)
+    clean = apply_transform(df, contracts.SILVER_TRANSFORM[table])
+    sinks.write_parquet(clean, silver_path, mode="overwrite", partition_by=contracts.SILVER_PARTITION.get(table))
+    if rejects_date is not None:
+        raw = src.read_csv_inferred(spark, bronze_path, multiline=multiline)
+        sinks.write_csv(rejected_rows(raw, clean), sinks.rejects_path(silver_path, rejects_date))
+
+
+def out_of_stock_to_silver(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date],
+                           *, idempotent: bool = True) -> None:
+    """D2 (and S8 for several dates): landed JSON days -> de-duplicated -> silver by date.
+
+    ``idempotent`` replaces the days being loaded (dynamic partition overwrite); without
+    it the days are appended, so a re-run stores them twice.
+    """
+    feed = src.read_json_days(spark, layout.feed, list(run_dates), contracts.BRONZE["out_of_stock"])
+    clean = apply_transform(feed, contracts.SILVER_TRANSFORM["out_of_stock"])
+    target = layout.silver_table("out_of_stock")
+    if idempotent:
+        sinks.write_parquet_daily(clean, target, "date")
+    else:
+        sinks.write_parquet(clean, target, mode="append", partition_by="date")
+
+
+def read_silver(spark: SparkSession, layout: ShopLayout, table: str) -> DataFrame:
+    return src.read_parquet(spark, layout.silver_table(table), contracts.BRONZE[table])
+
+
+def parquet_gold(layout: ShopLayout) -> GoldWriter:
+    def write(df: DataFrame, table: str) -> None:
+        sinks.write_parquet(df, f"{layout.gold.rstrip('/')}/{table}")
+    return write
+
+
+def build_gold(spark: SparkSession, layout: ShopLayout, write: GoldWriter | None = None,
+               *, tables: Iterable[str] | None = None) -> None:
+    """Silver -> gold: the configured dimension and fact refreshes (full overwrite each)."""
+    write = write or parquet_gold(layout)
+    s = lambda t: read_silver(spark, layout, t)
+    builders: dict[str, Callable[[], DataFrame]] = {
+        "dim_stores": lambda: marts.dim_stores(s("stores"), s("store_types")),
+        "dim_products": lambda: marts.dim_products(s("products"), s("aisles"), s("departments")),
+        "dim_clients": lambda: marts.dim_clients(s("clients")),
+        "dim_area": lambda: marts.dim_area(s("location_areas")),
+        "fact_orders": lambda: marts.fact_orders(s("orders")),
+        "fact_out_of_stock": lambda: marts.fact_out_of_stock(s("out_of_stock")),
+        "dim_date": lambda: marts.dim_date(s("orders"), s("out_of_stock")),
+    }
+    for table in tables or builders:
+        write(conform(builders[table](), contracts.GOLD[table]), table)
+
+
+def run_shop_snapshot(spark: SparkSession, layout: ShopLayout, run_date: dt.date,
+                      write: GoldWriter | None = None) -> None:
+    """Relational feed for one day: every bronze snapshot to silver, then the marts."""
+    for table in contracts.SILVER_TRANSFORM:
+        if table == "out_of_stock":
+            continue
+        bronze_path = sinks.snapshot_path(layout.bronze, run_date, table)
+        bronze_to_silver(spark, table, bronze_path, layout.silver_table(table))
+    build_gold(spark, layout, write,
+               tables=["dim_stores", "dim_products", "dim_clients", "dim_area", "fact_orders"])
+
+
+def run_out_of_stock(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date],
+                     write: GoldWriter | None = None) -> None:
+    """Out-of-stock feed for one or more days: landed JSON -> silver -> fact refresh."""
+    out_of_stock_to_silver(spark, layout, run_dates)
+    build_gold(spark, layout, write, tables=["fact_out_of_stock"])
+
+
+def append_calendar_day(spark: SparkSession, existing_dim_date: DataFrame, run_date: dt.date) -> DataFrame:
+    """D11 — the calendar row to append for ``run_date`` (empty if already present)."""
+    return conform(marts.append_dim_date(spark, existing_dim_date, run_date), contracts.GOLD["dim_date"])
