@@ -62,7 +62,11 @@ def bag_difference(left: DataFrame, right: DataFrame, *, chunk_rows: int = DEFAU
     chunks = counts.withColumn(
         chunk, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / size).cast("long")))
     )
-    spread = chunks.repartition(F.xxhash64(*[F.col(f"`{c}`") for c in cols], F.col(chunk)))
+    # The chunk rows are tiny but each expands to up to ``chunk_rows`` rows, so their
+    # shuffle size says nothing about the work: an explicit partition count keeps adaptive
+    # execution from folding all chunks back into one task.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    spread = chunks.repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in cols], F.col(chunk)))
     rows_in_chunk = F.least(size, F.col(n) - F.col(chunk) * size)
     return (
         spread.withColumn("__larder_i", F.explode(F.sequence(F.lit(1).cast("long"), rows_in_chunk)))
