@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
+from ..sessionconf import partitioned_write, scoped_conf
 from ..sources.files import CSV_DIALECT, DAY_KEY, day_dir
 
 
@@ -26,6 +28,16 @@ def _clustered(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
+@contextmanager
+def _partitioned_write_scope(df: DataFrame, partition_cols: list[str]):
+    if not partition_cols:
+        yield
+        return
+    spark = df.sparkSession
+    with scoped_conf(spark, partitioned_write(spark)):
+        yield
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -49,7 +61,8 @@ def write_parquet(
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    writer.parquet(path)
+    with _partitioned_write_scope(df, cols):
+        writer.parquet(path)
 
 
 def write_parquet_daily(df: DataFrame, path: str, partition_by: str = "date") -> None:
@@ -89,10 +102,11 @@ def land_json_days(df: DataFrame, root: str, date_col: str = "date") -> None:
     """
     from pyspark.sql import functions as F
 
-    (
+    writer = (
         _clustered(df.withColumn(DAY_KEY, F.col(date_col)), [DAY_KEY])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY_KEY)
-        .json(root)
     )
+    with _partitioned_write_scope(df, [DAY_KEY]):
+        writer.json(root)

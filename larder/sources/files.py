@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import Spec, to_struct
+from ..sessionconf import many_folder_listing, scoped_conf
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -60,11 +61,18 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_csv_inferred(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
-    """S2 — CSV with header and inferred types (an extra pass over the file)."""
+def read_csv_inferred(spark: SparkSession, path: str | list[str], *, multiline: bool = False,
+                      sampling_ratio: float = 1.0) -> DataFrame:
+    """S2 — CSV with header and inferred types.
+
+    Inference is an extra pass over the input; ``sampling_ratio`` < 1 infers from a
+    sample of the rows (cheaper on large snapshots, but a rare value may then not widen
+    the type and read as NULL).
+    """
     return (
         spark.read.options(**CSV_DIALECT)
         .option("inferSchema", "true")
+        .option("samplingRatio", str(sampling_ratio))
         .option("multiLine", "true" if multiline else "false")
         .csv(path)
     )
@@ -80,7 +88,8 @@ def read_json_days(spark: SparkSession, root: str, run_dates: Iterable[dt.date |
     paths = [day_dir(root, d) for d in run_dates]
     if not paths:
         return spark.createDataFrame([], to_struct(schema))
-    return spark.read.schema(to_struct(schema)).json(paths)
+    with scoped_conf(spark, many_folder_listing(spark)):
+        return spark.read.schema(to_struct(schema)).json(paths)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: Spec | None = None) -> DataFrame:
@@ -89,8 +98,9 @@ def read_parquet(spark: SparkSession, path: str, schema: Spec | None = None) ->
     With a contract, partition columns get the declared type and the declared column order
     is restored (discovery appends partition columns at the end).
     """
-    if schema is None:
-        return spark.read.parquet(path)
-    struct = to_struct(schema)
-    df = spark.read.schema(struct).parquet(path)
+    with scoped_conf(spark, many_folder_listing(spark)):
+        if schema is None:
+            return spark.read.parquet(path)
+        struct = to_struct(schema)
+        df = spark.read.schema(struct).parquet(path)
     return df.select(*[F.col(f.name) for f in struct.fields])
