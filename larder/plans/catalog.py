@@ -391,7 +391,7 @@ def q_scan_partitioned(spark, d):
 def q_bronze_to_silver(spark, d):
     """D1 for orders: CSV snapshot -> declared read -> registry transform -> partitioned
     Parquet -> silver read in declared column order."""
-    from .pipeline import bronze_to_silver
+    from .daily import bronze_to_silver
 
     bronze_root = scratch_path(spark, "bronze_to_silver_bronze")
     silver_root = scratch_path(spark, "bronze_to_silver_silver")
@@ -419,7 +419,7 @@ def q_rejects_diff(spark, d):
     "SELECT * FROM b_products EXCEPT ALL SELECT DISTINCT * FROM b_products", "products"))
 def q_sink_csv_rejects(spark, d):
     """K3/D3 — the products reject set written as CSV under ``<silver>_errors/<date>`` and read back."""
-    from .pipeline import bronze_to_silver
+    from .daily import bronze_to_silver
 
     path = _land_bronze_csv(spark, d, "products", "sink_csv_rejects")
     silver_root = scratch_path(spark, "sink_csv_rejects_silver")
@@ -508,3 +508,51 @@ def q_conform_schema(spark, d):
         F.col("l_quantity").alias("quantity"),
     )
     return checks.conform(lines, contracts.GOLD["fact_orders"])
+
+
+_GOLD_SQL = dict(_DIM_SQL)
+_GOLD_SQL["fact_orders"] = "SELECT product_id, client_id, store_id, order_date, quantity FROM s_orders"
+_GOLD_SQL["fact_out_of_stock"] = "SELECT product_id, date AS oos_date FROM s_out_of_stock"
+
+
+def _report_sql(table: str) -> str:
+    struct = contracts.gold_schema(table)
+    src_sql = _GOLD_SQL[table]
+    parts = [
+        f"SELECT '{table}' AS table_name, 'not_null' AS check_name, '{f.name}' AS subject, "
+        f"count(*) FILTER (WHERE {f.name} IS NULL) AS violations FROM ({src_sql}) x"
+        for f in struct.fields if not f.nullable
+    ]
+    parts += [
+        f"SELECT '{table}' AS table_name, 'max_length_{n}' AS check_name, '{c}' AS subject, "
+        f"count(*) FILTER (WHERE length({c}) > {n}) AS violations FROM ({src_sql}) x"
+        for c, n in contracts.GOLD_MAX_LENGTH.get(table, {}).items()
+    ]
+    keys = contracts.GOLD_KEYS[table]
+    parts.append(
+        f"SELECT '{table}' AS table_name, 'unique_key' AS check_name, '{','.join(keys)}' AS subject, "
+        f"count(*) AS violations FROM (SELECT {', '.join(keys)} FROM ({src_sql}) x "
+        f"GROUP BY {', '.join(keys)} HAVING count(*) > 1) d"
+    )
+    return " UNION ALL ".join(parts)
+
+
+@query("check_gold_contracts", WS(" UNION ALL ".join(_report_sql(t) for t in contracts.GOLD), *_ALL_SILVER))
+def q_check_gold_contracts(spark, d):
+    """V1–V3 for all seven gold tables built from the silver feeds: NULLs in NOT NULL
+    columns, over-length values and duplicated primary keys, one row per check."""
+    gold = {
+        "dim_date": q_dim_date(spark, d),
+        "dim_products": q_dim_products(spark, d),
+        "dim_area": q_dim_area(spark, d),
+        "dim_clients": q_dim_clients(spark, d),
+        "dim_stores": q_dim_stores(spark, d),
+        "fact_orders": marts.fact_orders(silver(spark, d, "orders"), cluster=False),
+        "fact_out_of_stock": q_fact_out_of_stock(spark, d),
+    }
+    out = None
+    for table, df in gold.items():
+        part = checks.contract_report(df, table, contracts.GOLD[table], contracts.GOLD_KEYS[table],
+                                      contracts.GOLD_MAX_LENGTH.get(table))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -12,6 +12,7 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import contracts
@@ -127,3 +128,20 @@ def run_out_of_stock(spark: SparkSession, layout: ShopLayout, run_dates: Iterabl
 def append_calendar_day(spark: SparkSession, existing_dim_date: DataFrame, run_date: dt.date) -> DataFrame:
     """D11 — the calendar row to append for ``run_date`` (empty if already present)."""
     return conform(marts.append_dim_date(spark, existing_dim_date, run_date), contracts.GOLD["dim_date"])
+
+
+def append_calendar_to_gold(spark: SparkSession, layout: ShopLayout, run_date: dt.date) -> None:
+    """D11 on a Parquet gold layer: append the run date's calendar row unless present."""
+    target = f"{layout.gold.rstrip('/')}/dim_date"
+    try:
+        existing = spark.read.parquet(target)
+    except AnalysisException:  # no calendar yet
+        existing = spark.createDataFrame([], contracts.gold_schema("dim_date"))
+    sinks.write_parquet(append_calendar_day(spark, existing, run_date), target, mode="append")
+
+
+def run_day(spark: SparkSession, layout: ShopLayout, run_date: dt.date, write: GoldWriter | None = None) -> None:
+    """All feeds of one logical date: shop snapshot, out-of-stock day, calendar append."""
+    run_shop_snapshot(spark, layout, run_date, write)
+    run_out_of_stock(spark, layout, [run_date], write)
+    append_calendar_to_gold(spark, layout, run_date)

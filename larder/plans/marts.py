@@ -1,6 +1,6 @@
 """Star-schema marts (D4–D11): pure ``DataFrame -> DataFrame`` functions over silver tables.
 
-No I/O happens here; ``larder.plans.pipeline`` reads silver and writes gold.
+No I/O happens here; ``larder.plans.daily`` reads silver and writes gold.
 """
 
 from __future__ import annotations

@@ -75,6 +75,37 @@ def contract_mismatches(df: DataFrame, contract: Spec) -> list[str]:
     return problems
 
 
+REPORT_COLUMNS = ("table_name", "check_name", "subject", "violations")
+
+
+def contract_report(df: DataFrame, table: str, contract: Spec, keys: Sequence[str],
+                    max_length: Mapping[str, int] | None = None) -> DataFrame:
+    """V1–V3 for one table as rows ``(table_name, check_name, subject, violations)``.
+
+    One aggregate pass counts NULLs in the contract's NOT NULL columns and over-length
+    values; one grouped pass (partial aggregation first) counts duplicated key values.
+    """
+    struct = to_struct(contract)
+    required = [f.name for f in struct.fields if not f.nullable]
+    limits = dict(max_length or {})
+    aggs = [F.count_if(F.col(c).isNull()).cast("long").alias(f"null_{i}") for i, c in enumerate(required)]
+    aggs += [F.count_if(F.char_length(F.col(c)) > n).cast("long").alias(f"len_{i}")
+             for i, (c, n) in enumerate(limits.items())]
+
+    def row(check: str, subject: str, value) -> F.Column:
+        return F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
+                        F.lit(subject).alias("subject"), value.alias("violations"))
+
+    rows = [row("not_null", c, F.col(f"null_{i}")) for i, c in enumerate(required)]
+    rows += [row(f"max_length_{n}", c, F.col(f"len_{i}")) for i, (c, n) in enumerate(limits.items())]
+    dups = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("v"))
+    dup_row = dups.select(row("unique_key", ",".join(keys), F.col("v")).alias("r")).select("r.*")
+    if not rows:
+        return dup_row
+    single = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    return single.unionByName(dup_row)
+
+
 def rejected_rows(raw: DataFrame, clean: DataFrame, *, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """D3 — rows of the raw (inferred) read that did not reach the clean output.
 

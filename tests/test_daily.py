@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from larder import contracts
 from larder.functions import calendar as cal
-from larder.plans import pipeline, roles
+from larder.plans import daily, roles
 from larder.quality import checks
 from larder.sinks import files as sinks
 from larder.sources import files as src
@@ -18,7 +18,7 @@ RUN = dt.date(2021, 8, 22)
 
 
 def _layout(out):
-    return pipeline.ShopLayout(bronze=f"{out}/bronze", feed=f"{out}/feed", silver=f"{out}/silver", gold=f"{out}/gold")
+    return daily.ShopLayout(bronze=f"{out}/bronze", feed=f"{out}/feed", silver=f"{out}/silver", gold=f"{out}/gold")
 
 
 def _land_snapshots(spark, layout):
@@ -30,11 +30,11 @@ def _land_snapshots(spark, layout):
 def test_shop_snapshot_run_builds_conforming_gold(spark, out):
     layout = _layout(out)
     _land_snapshots(spark, layout)
-    pipeline.run_shop_snapshot(spark, layout, RUN)
+    daily.run_shop_snapshot(spark, layout, RUN)
     for table in ["dim_stores", "dim_products", "dim_clients", "dim_area", "fact_orders"]:
         gold = spark.read.parquet(f"{layout.gold}/{table}")
         assert checks.contract_mismatches(gold, contracts.GOLD[table]) == [], table
-    silver_orders = pipeline.read_silver(spark, layout, "orders")
+    silver_orders = daily.read_silver(spark, layout, "orders")
     assert silver_orders.columns == list(contracts.BRONZE["orders"])
     bronze_orders = roles.bronze(spark, SF_SMOKE, "orders")
     assert silver_orders.count() == bronze_orders.distinct().count()
@@ -49,9 +49,9 @@ def test_shop_snapshot_run_builds_conforming_gold(spark, out):
 def test_rerun_of_snapshot_is_idempotent(spark, out):
     layout = _layout(out)
     _land_snapshots(spark, layout)
-    pipeline.run_shop_snapshot(spark, layout, RUN)
+    daily.run_shop_snapshot(spark, layout, RUN)
     first = spark.read.parquet(f"{layout.gold}/fact_orders").count()
-    pipeline.run_shop_snapshot(spark, layout, RUN)
+    daily.run_shop_snapshot(spark, layout, RUN)
     assert spark.read.parquet(f"{layout.gold}/fact_orders").count() == first
 
 
@@ -61,9 +61,9 @@ def test_out_of_stock_feed_rerun_and_backfill(spark, out):
     days = [r[0] for r in feed.select("date").distinct().orderBy("date").limit(3).collect()]
     for d in days:
         sinks.land_json_day(feed.where(F.col("date") == d), layout.feed, d)
-    pipeline.run_out_of_stock(spark, layout, days[:2])
-    pipeline.run_out_of_stock(spark, layout, days[1:])  # day 2 re-run, day 3 new
-    silver = pipeline.read_silver(spark, layout, "out_of_stock")
+    daily.run_out_of_stock(spark, layout, days[:2])
+    daily.run_out_of_stock(spark, layout, days[1:])  # day 2 re-run, day 3 new
+    silver = daily.read_silver(spark, layout, "out_of_stock")
     expected = feed.where(F.col("date").isin(days)).distinct()
     assert sorted(map(tuple, silver.collect())) == sorted(map(tuple, expected.collect()))
     fact = spark.read.parquet(f"{layout.gold}/fact_out_of_stock")
@@ -75,20 +75,20 @@ def test_plain_append_mode_duplicates_on_rerun(spark, out):
     feed = roles.bronze(spark, SF_SMOKE, "out_of_stock")
     d = feed.agg(F.max("date")).first()[0]
     sinks.land_json_day(feed.where(F.col("date") == d), layout.feed, d)
-    pipeline.out_of_stock_to_silver(spark, layout, [d], idempotent=False)
-    pipeline.out_of_stock_to_silver(spark, layout, [d], idempotent=False)
+    daily.out_of_stock_to_silver(spark, layout, [d], idempotent=False)
+    daily.out_of_stock_to_silver(spark, layout, [d], idempotent=False)
     n = feed.where(F.col("date") == d).distinct().count()
-    assert pipeline.read_silver(spark, layout, "out_of_stock").count() == 2 * n
+    assert daily.read_silver(spark, layout, "out_of_stock").count() == 2 * n
 
 
 def test_rejects_written_next_to_silver(spark, out):
     layout = _layout(out)
     sinks.write_csv_snapshot(roles.bronze(spark, SF_SMOKE, "departments"), layout.bronze, RUN, "departments")
     bronze_path = sinks.snapshot_path(layout.bronze, RUN, "departments")
-    pipeline.bronze_to_silver(spark, "departments", bronze_path, layout.silver_table("departments"),
+    daily.bronze_to_silver(spark, "departments", bronze_path, layout.silver_table("departments"),
                               rejects_date=RUN)
     raw = src.read_csv_inferred(spark, bronze_path)
-    silver = pipeline.read_silver(spark, layout, "departments")
+    silver = daily.read_silver(spark, layout, "departments")
     rejects = src.read_csv(spark, sinks.rejects_path(layout.silver_table("departments"), RUN),
                            contracts.BRONZE["departments"])
     assert raw.count() == silver.count() + rejects.count()
@@ -97,7 +97,29 @@ def test_rejects_written_next_to_silver(spark, out):
 
 def test_append_calendar_day(spark):
     existing = cal.calendar_row(spark, RUN)
-    assert pipeline.append_calendar_day(spark, existing, RUN).count() == 0
-    nxt = pipeline.append_calendar_day(spark, existing, RUN + dt.timedelta(days=1))
+    assert daily.append_calendar_day(spark, existing, RUN).count() == 0
+    nxt = daily.append_calendar_day(spark, existing, RUN + dt.timedelta(days=1))
     assert checks.contract_mismatches(nxt, contracts.GOLD["dim_date"]) == []
     assert nxt.count() == 1
+
+
+def test_run_day_end_to_end_and_rerun(spark, out):
+    layout = _layout(out)
+    _land_snapshots(spark, layout)
+    feed = roles.bronze(spark, SF_SMOKE, "out_of_stock")
+    latest = feed.agg(F.max("date")).first()[0]
+    sinks.land_json_day(feed.where(F.col("date") == latest), layout.feed, RUN)
+    daily.run_day(spark, layout, RUN)
+    daily.run_day(spark, layout, RUN)
+    dim_date = spark.read.parquet(f"{layout.gold}/dim_date")
+    assert [tuple(r) for r in dim_date.collect()] == [(RUN, 22, 8, 2021, "Sun")]
+    for table in ["dim_stores", "dim_products", "dim_clients", "dim_area", "fact_orders", "fact_out_of_stock"]:
+        assert checks.contract_mismatches(spark.read.parquet(f"{layout.gold}/{table}"),
+                                          contracts.GOLD[table]) == [], table
+
+
+def test_contract_report(spark):
+    df = spark.createDataFrame([(1, "Mon"), (1, "Tues"), (None, "Wed")], "k int, name string")
+    report = checks.contract_report(df, "t", "k int not null, name string", ["k"], {"name": 3})
+    got = sorted(tuple(r) for r in report.collect())
+    assert got == [("t", "max_length_3", "name", 1), ("t", "not_null", "k", 1), ("t", "unique_key", "k", 1)]
