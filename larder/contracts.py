@@ -87,16 +87,23 @@ SILVER_PARTITION = {"orders": "store_id", "out_of_stock": "date"}
 
 # The gold star schema (column order, types, NOT NULL, varchar limits, keys).
 # dim_products.product_name is a string (the source column is text).
-GOLD: dict[str, str] = {
-    "dim_date": "action_date date not null, action_day int not null, action_month int not null, "
-                "action_year int not null, action_weekday string not null",
-    "dim_products": "product_id int not null, product_name string, department_name string, aisle string",
-    "dim_area": "area_id int not null, area string",
-    "dim_clients": "client_id int not null, fullname string, area_id int",
-    "dim_stores": "store_id int not null, area_id int, type string",
-    "fact_orders": "product_id int not null, client_id int not null, store_id int not null, "
-                   "order_date date not null, quantity int",
-    "fact_out_of_stock": "product_id int not null, oos_date date not null",
+GOLD: dict[str, dict[str, dict[str, object]]] = {
+    "dim_date": _cols(
+        ("action_date", DATE, False), ("action_day", INT, False), ("action_month", INT, False),
+        ("action_year", INT, False), ("action_weekday", STR, False),
+    ),
+    "dim_products": _cols(
+        ("product_id", INT, False), ("product_name", STR, True),
+        ("department_name", STR, True), ("aisle", STR, True),
+    ),
+    "dim_area": _cols(("area_id", INT, False), ("area", STR, True)),
+    "dim_clients": _cols(("client_id", INT, False), ("fullname", STR, True), ("area_id", INT, True)),
+    "dim_stores": _cols(("store_id", INT, False), ("area_id", INT, True), ("type", STR, True)),
+    "fact_orders": _cols(
+        ("product_id", INT, False), ("client_id", INT, False), ("store_id", INT, False),
+        ("order_date", DATE, False), ("quantity", INT, True),
+    ),
+    "fact_out_of_stock": _cols(("product_id", INT, False), ("oos_date", DATE, False)),
 }
 GOLD_KEYS: dict[str, tuple[str, ...]] = {
     "dim_date": ("action_date",),

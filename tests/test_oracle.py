@@ -51,3 +51,12 @@ def test_query_matches_oracle(spark, duck, name):
     order = [df.columns.index(c) for c in rel.columns]
     got = [tuple(r[i] for i in order) for r in df.collect()]
     assert _norm(got) == _norm(rel.fetchall())
+
+
+def test_entry_module_imports_without_a_session():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as E; assert len(E.queries()) == len(E.oracle_sql()) > 40"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
