@@ -1,9 +1,10 @@
 """Lookup joins (J1, J2): enrich a table with attributes of a small lookup table.
 
-A lookup is broadcast only after a bounded probe proves it small: the probe reads at most
-``max_rows + 1`` rows of the lookup and sums their string bytes. Past the bound the join
-is left to the planner (sort-merge with adaptive skew splitting), so a lookup that grew
-large never ends up in executor memory whole.
+A lookup is broadcast only after a probe proves it small: one distributed aggregate counts
+its rows and sums their string bytes (partial count/sum per task, no row leaves its task).
+Past the bound the join is left to the planner (sort-merge with adaptive skew splitting),
+so a lookup that grew large never ends up in executor memory whole. The probe reads only
+the lookup's key and taken columns, which the join reads anyway.
 """
 
 from __future__ import annotations
@@ -30,11 +31,9 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
         else:
             fixed += 8  # numeric, date and timestamp values take at most 8 bytes
     payload = sum(varlen[1:], varlen[0]) if varlen else F.lit(0)
-    probe = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b"))
-        .first()
-    )
+    # A plain aggregate, not ``limit(n).count()``: a limit funnels the rows of every task
+    # into a single task before counting, which for a large lookup is the whole table.
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b")).first()
     rows, strings = probe["n"], probe["b"] or 0
     return rows <= max_rows and rows * fixed + strings <= max_bytes
 
