@@ -55,9 +55,21 @@ def bag_difference(left: DataFrame, right: DataFrame, *, chunk_rows: int = DEFAU
     """
     left, right = align_types(left, right)
     cols = left.columns
-    n, chunk = "__larder_n", "__larder_chunk"
+    n = "__larder_n"
     tagged = left.withColumn(n, F.lit(1)).unionByName(right.withColumn(n, F.lit(-1)))
     counts = tagged.groupBy(*cols).agg(F.sum(n).alias(n)).where(F.col(n) > 0)
+    return replicate(counts, n, chunk_rows=chunk_rows).select(*[F.col(f"`{c}`") for c in cols])
+
+
+def replicate(df: DataFrame, count_col: str, *, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Each row of ``df`` repeated ``count_col`` times (rows with a count <= 0 vanish).
+
+    Copies are produced in chunks of at most ``chunk_rows``; the chunks are hash-spread
+    over tasks first, so one row with a huge count is expanded by many tasks.
+    """
+    cols = [c for c in df.columns if c != count_col]
+    n, chunk = count_col, "__larder_chunk"
+    counts = df.where(F.col(n) > 0)
     size = F.lit(chunk_rows).cast("long")
     chunks = counts.withColumn(
         chunk, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / size).cast("long")))
@@ -65,7 +77,7 @@ def bag_difference(left: DataFrame, right: DataFrame, *, chunk_rows: int = DEFAU
     # The chunk rows are tiny but each expands to up to ``chunk_rows`` rows, so their
     # shuffle size says nothing about the work: an explicit partition count keeps adaptive
     # execution from folding all chunks back into one task.
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     spread = chunks.repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in cols], F.col(chunk)))
     rows_in_chunk = F.least(size, F.col(n) - F.col(chunk) * size)
     return (

@@ -556,3 +556,16 @@ def q_check_gold_contracts(spark, d):
                                       contracts.GOLD_MAX_LENGTH.get(table))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("rejects_reasoned", W(
+    "SELECT department_id, department, 'null:department' AS reason FROM b_departments WHERE department IS NULL "
+    "UNION ALL SELECT department_id, department, 'duplicate' AS reason FROM "
+    "(SELECT department_id, department, unnest(range(n - 1)) AS i FROM "
+    "(SELECT department_id, department, count(*) AS n FROM b_departments WHERE department IS NOT NULL "
+    "GROUP BY department_id, department))", "departments"))
+def q_rejects_reasoned(spark, d):
+    """D3 with reasons: departments dropped by the NULL filter and surplus copies."""
+    path = _land_bronze_csv(spark, d, "departments", "rejects_reasoned")
+    raw = src.read_csv(spark, path, contracts.BRONZE["departments"])
+    return checks.rejects_with_reason(raw, ["department"])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import Spec, to_struct
-from ..operators.setops import DEFAULT_CHUNK_ROWS, bag_difference
+from ..operators.setops import DEFAULT_CHUNK_ROWS, bag_difference, replicate
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -114,3 +114,28 @@ def rejected_rows(raw: DataFrame, clean: DataFrame, *, chunk_rows: int = DEFAULT
     position with ``larder.operators.setops.align_types``.
     """
     return bag_difference(raw, clean, chunk_rows=chunk_rows)
+
+
+REASON_COLUMN = "reason"
+
+
+def rejects_with_reason(df: DataFrame, not_null_columns: Sequence[str] = (), *,
+                        chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """D3, reasoned: every row the silver transform (not-null filter, then whole-row
+    de-duplication) drops from ``df``, with why.
+
+    ``null:<column>`` for a row removed by the filter (first NULL column in order),
+    ``duplicate`` for each surplus copy of a kept row. Copies are counted with one
+    partial + final aggregate and regenerated with ``replicate``, so a row repeated a
+    billion times is neither shipped whole through the shuffle nor re-expanded by one task.
+    """
+    cols = df.columns
+    n = "__larder_n"
+    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
+    reason = F.lit("duplicate")
+    copies = F.col(n) - 1
+    for c in reversed(list(not_null_columns)):
+        reason = F.when(F.col(c).isNull(), F.lit(f"null:{c}")).otherwise(reason)
+        copies = F.when(F.col(c).isNull(), F.col(n)).otherwise(copies)
+    tagged = counts.select(*[F.col(f"`{c}`") for c in cols], reason.alias(REASON_COLUMN), copies.alias(n))
+    return replicate(tagged, n, chunk_rows=chunk_rows)

@@ -136,3 +136,16 @@ def test_registry(spark):
     df = spark.createDataFrame([(1,), (-1,)], "x int")
     assert bag(apply_transform(df, "test_keep_positive")) == [(1,)]
     assert get_transform("test_keep_positive") is keep_positive
+
+
+def test_rejects_with_reason(spark):
+    from larder.quality.checks import rejects_with_reason
+
+    raw = spark.createDataFrame([(1, "x"), (1, "x"), (1, "x"), (2, "y"), (3, None), (3, None)],
+                                "aisle_id int, aisle string")
+    got = bag(rejects_with_reason(raw, ["aisle"], chunk_rows=1))
+    assert got == [(1, "x", "duplicate"), (1, "x", "duplicate"), (3, None, "null:aisle"), (3, None, "null:aisle")]
+    clean = apply_transform(raw, "transform_aisles")
+    assert raw.count() == clean.count() + len(got)
+    assert bag(setops.replicate(spark.createDataFrame([("a", 3), ("b", 0)], "v string, n long"), "n")) == \
+        [("a",), ("a",), ("a",)]
