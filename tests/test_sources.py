@@ -117,3 +117,13 @@ def test_declared_not_null_is_not_enforced_on_read_but_checked(spark, out):
     assert sorted(map(tuple, df.collect()), key=repr) == [(2, "y"), (None, "x")]
     required = contracts.required_columns(AISLES)
     assert [tuple(r) for r in null_counts(df, required).collect()] == [(2, 1)]
+
+
+def test_api_day_document_as_one_line_array(spark, out):
+    day = dt.date(2021, 8, 22)
+    doc = '[{"product_id": 7, "date": "2021-08-22"}, {"product_id": 7, "date": "2021-08-22"}, ' \
+          '{"product_id": 9, "date": "2021-08-22"}]'
+    write_text(f"{src.day_dir(out, day)}/data.json", doc + "\n")
+    df = src.read_json_day(spark, out, day, contracts.BRONZE["out_of_stock"])
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "date"]
+    assert rows(df) == [(7, day), (7, day), (9, day)]
