@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import contracts
 from ..operators.registry import apply_transform
+from ..sessionconf import many_folder_listing, scoped_conf
 from ..sinks.files import write_parquet_daily
 from ..sources.files import DAY_KEY, read_json_days
 
@@ -51,7 +52,10 @@ def start_feed_to_silver(spark: SparkSession, feed_root: str, silver_path: str,
     writer = stream.writeStream.foreachBatch(_load_days(feed_root, silver_path)).option(
         "checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    # The query runs on a copy of the session taken at start: list the landing folder's
+    # many day folders with a few tasks per core for the whole run.
+    with scoped_conf(spark, many_folder_listing(spark)):
+        return writer.start()
 
 
 def run_feed_to_silver(spark: SparkSession, feed_root: str, silver_path: str, checkpoint: str,
