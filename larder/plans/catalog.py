@@ -569,3 +569,28 @@ def q_rejects_reasoned(spark, d):
     path = _land_bronze_csv(spark, d, "departments", "rejects_reasoned")
     raw = src.read_csv(spark, path, contracts.BRONZE["departments"])
     return checks.rejects_with_reason(raw, ["department"])
+
+
+_SILVER_OOS: dict[tuple[str, str], str] = {}
+
+
+def _silver_out_of_stock_table(spark, d) -> str:
+    """Silver out-of-stock partitioned by date, written once per application and folder
+    (the table the daily fact refresh reads)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SILVER_OOS:
+        out = scratch_path(spark, "silver_out_of_stock_table")
+        sinks.write_parquet_daily(silver(spark, d, "out_of_stock"), out, "date")
+        _SILVER_OOS[key] = out
+    return _SILVER_OOS[key]
+
+
+@query("fact_out_of_stock_day", WS(
+    "SELECT product_id, date AS oos_date FROM s_out_of_stock "
+    "WHERE date = (SELECT max(date) FROM s_out_of_stock)", "out_of_stock"))
+def q_fact_out_of_stock_day(spark, d):
+    """D8 incremental — the fact rows of one run date (the latest day) from the silver
+    table partitioned by date: the date filter prunes to a single folder."""
+    silver_table = src.read_parquet(spark, _silver_out_of_stock_table(spark, d), contracts.BRONZE["out_of_stock"])
+    run_date = bronze(spark, d, "out_of_stock").agg(F.max("date")).first()[0]
+    return marts.fact_out_of_stock(silver_table, run_date=run_date)

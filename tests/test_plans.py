@@ -63,3 +63,8 @@ def test_no_python_udfs_in_any_registered_query(spark):
     for name in ("dim_products", "fact_orders", "rejects_diff", "check_gold_contracts", "calendar_range"):
         p = plan(catalog.QUERIES[name](spark, SF_SMOKE))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_registered_daily_fact_reads_one_folder(spark):
+    p = plan(catalog.QUERIES["fact_out_of_stock_day"](spark, SF_SMOKE))
+    assert "PartitionFilters: [isnotnull(date" in p and "(date#" in p
