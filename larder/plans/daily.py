@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import contracts
 from ..operators.registry import apply_transform
@@ -63,11 +64,13 @@ def bronze_to_silver(
 
 
 def out_of_stock_to_silver(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date],
-                           *, idempotent: bool = True) -> None:
+                           *, idempotent: bool = True) -> list[dt.date]:
     """D2 (and S8 for several dates): landed JSON days -> de-duplicated -> silver by date.
 
     ``idempotent`` replaces the days being loaded (dynamic partition overwrite); without
-    it the days are appended, so a re-run stores them twice.
+    it the days are appended, so a re-run stores them twice. Returns the distinct event
+    dates the loaded rows carry (one value per day, a partial + final distinct over the
+    ``date`` field of the landed days).
     """
     feed = src.read_json_days(spark, layout.feed, list(run_dates), contracts.BRONZE["out_of_stock"])
     clean = apply_transform(feed, contracts.SILVER_TRANSFORM["out_of_stock"])
@@ -76,6 +79,10 @@ def out_of_stock_to_silver(spark: SparkSession, layout: ShopLayout, run_dates: I
         sinks.write_parquet_daily(clean, target, "date")
     else:
         sinks.write_parquet(clean, target, mode="append", partition_by="date")
+    days = apply_transform(
+        src.read_json_days(spark, layout.feed, list(run_dates), contracts.BRONZE["out_of_stock"]).select("date"),
+        "transform_common")
+    return [r[0] for r in days.collect() if r[0] is not None]
 
 
 def read_silver(spark: SparkSession, layout: ShopLayout, table: str) -> DataFrame:
@@ -118,11 +125,30 @@ def run_shop_snapshot(spark: SparkSession, layout: ShopLayout, run_date: dt.date
                tables=["dim_stores", "dim_products", "dim_clients", "dim_area", "fact_orders"])
 
 
+def refresh_fact_out_of_stock_days(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date]) -> None:
+    """D8 incremental on the Parquet gold layer: only the run dates are read from silver
+    (partition pruning on ``date``) and only those days are replaced in gold (partitioned
+    by ``oos_date``), so a daily run costs one day, not the whole history."""
+    days = list(run_dates)
+    silver = read_silver(spark, layout, "out_of_stock").where(F.col("date").isin(days))
+    facts = conform(marts.fact_out_of_stock(silver), contracts.GOLD["fact_out_of_stock"])
+    sinks.write_parquet(facts, f"{layout.gold.rstrip('/')}/fact_out_of_stock",
+                        mode="overwrite", partition_by="oos_date", dynamic=True)
+
+
 def run_out_of_stock(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date],
                      write: GoldWriter | None = None) -> None:
-    """Out-of-stock feed for one or more days: landed JSON -> silver -> fact refresh."""
-    out_of_stock_to_silver(spark, layout, run_dates)
-    build_gold(spark, layout, write, tables=["fact_out_of_stock"])
+    """Out-of-stock feed for one or more days: landed JSON -> silver -> fact refresh.
+
+    With the Parquet gold layer the fact refresh is incremental (only ``run_dates``); a
+    warehouse writer gets the full refresh (a JDBC write cannot replace single days).
+    """
+    touched = out_of_stock_to_silver(spark, layout, list(run_dates))
+    if write is None:
+        if touched:
+            refresh_fact_out_of_stock_days(spark, layout, touched)
+    else:
+        build_gold(spark, layout, write, tables=["fact_out_of_stock"])
 
 
 def append_calendar_day(spark: SparkSession, existing_dim_date: DataFrame, run_date: dt.date) -> DataFrame:
