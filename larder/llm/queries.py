@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import hostrules, license_scan, quality, sharding, simhash, substring, tokens_binary
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
+    "op2_quality_classifier": quality.op2_quality_classifier,
+    "op6_token_binary_output": tokens_binary.op6_token_binary_output,
     "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
+    "op8_two_pass_sharding": sharding.op8_two_pass_sharding,
+    "op9_host_quality_rules": hostrules.op9_host_quality_rules,
+    "op10_substring_dedup": substring.op10_substring_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_license_scan": license_scan.OP1_SQL,
+    "op9_host_quality_rules": hostrules.OP9_SQL,
+}
