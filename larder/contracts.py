@@ -83,7 +83,13 @@ SILVER_TRANSFORM = {
     "orders": "transform_common",
     "out_of_stock": "transform_common",
 }
-SILVER_PARTITION = {"orders": "store_id", "out_of_stock": "date"}
+SILVER_PARTITION: dict[str, str | tuple[str, ...]] = {"orders": "store_id", "out_of_stock": ("day", "date")}
+
+# Tables whose CSV extracts hold quoted line breaks (such files cannot be split).
+MULTILINE = frozenset({"clients"})
+
+# Partition columns of gold tables; every writer of a Parquet gold layer follows them.
+GOLD_PARTITION = {"fact_out_of_stock": "oos_date"}
 
 # The gold star schema (column order, types, NOT NULL, varchar limits, keys).
 # dim_products.product_name is a string (the source column is text).

@@ -1,70 +1,33 @@
-"""Lookup joins (J1, J2): enrich a table with attributes of a small lookup table.
+"""Lookup joins (J1, J2): enrich a table with attributes of a lookup table.
 
-A lookup is broadcast only after a probe proves it small: one distributed aggregate counts
-its rows and sums their string bytes (partial count/sum per task, no row leaves its task).
-Past the bound the join is left to the planner (sort-merge with adaptive skew splitting),
-so a lookup that grew large never ends up in executor memory whole. The probe reads only
-the lookup's key and taken columns, which the join reads anyway.
+The join is a plain left equi-join: no size probe runs while the plan is built and no
+broadcast is forced. The planner broadcasts the lookup if its files are below the
+session's threshold, and adaptive execution switches to a broadcast when the lookup turns
+out that small at run time; both know its real bytes, whatever its column types are. A
+lookup that grew large stays a sort-merge join, with skewed keys split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Broadcast bound for lookup tables (rows and bytes of string payload).
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Proven size bound: at most ``max_rows`` rows and ``max_bytes`` estimated bytes."""
-    fixed = 0
-    varlen = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            varlen.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
-            fixed += 8
-        else:
-            fixed += 8  # numeric, date and timestamp values take at most 8 bytes
-    payload = sum(varlen[1:], varlen[0]) if varlen else F.lit(0)
-    # A plain aggregate, not ``limit(n).count()``: a limit funnels the rows of every task
-    # into a single task before counting, which for a large lookup is the whole table.
-    probe = df.agg(F.count(F.lit(1)).alias("n"), F.sum(payload).alias("b")).first()
-    rows, strings = probe["n"], probe["b"] or 0
-    return rows <= max_rows and rows * fixed + strings <= max_bytes
-
-
-def left_lookup(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: Mapping[str, str],
-    take: Mapping[str, str],
-    *,
-    broadcast: bool | None = None,
-) -> DataFrame:
+def left_lookup(df: DataFrame, lookup: DataFrame, on: Mapping[str, str], take: Mapping[str, str]) -> DataFrame:
     """Left outer equi-join of ``df`` with ``lookup``.
 
     ``on`` maps ``df`` key columns to lookup key columns; ``take`` maps lookup columns to
     output names. Only the key and taken columns of the lookup are read. Rows of ``df``
     without a match (or with a NULL key) keep NULL attributes; a key repeated in the
-    lookup repeats the row (plain left-join semantics). ``broadcast=None`` decides by the
-    size probe.
+    lookup repeats the row (plain left-join semantics).
     """
     keys = {src: f"__larder_k{i}" for i, src in enumerate(on.values())}
     right = lookup.select(
         *[F.col(src).alias(alias) for src, alias in keys.items()],
         *[F.col(src).alias(out) for src, out in take.items()],
     )
-    if broadcast is None:
-        broadcast = fits_broadcast(right)
-    if broadcast:
-        right = F.broadcast(right)
-    cond = None
-    for left_col, right_col in on.items():
-        term = df[left_col] == right[keys[right_col]]
-        cond = term if cond is None else cond & term
+    cond = reduce(lambda a, b: a & b, [df[left] == right[keys[key]] for left, key in on.items()])
     return df.join(right, cond, "left").drop(*keys.values())

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
 
 def new_keys_only(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose ``keys`` do not occur in ``existing`` (left anti join).
+    """One row for each key of ``new`` that does not occur in ``existing``.
 
-    Re-running an append for a day that was already loaded then appends nothing instead
-    of failing on the warehouse primary key. Only the key columns of ``existing`` are read.
+    Keys are compared null-safe: a NULL key that is already there is not appended again.
+    Re-running an append for a day that was already loaded then appends nothing instead of
+    failing on the warehouse primary key, and a key repeated in ``new`` is appended once.
+    Only the key columns of ``existing`` are read.
     """
-    return new.join(existing.select(*keys), list(keys), "left_anti")
+    there = existing.select(*keys)
+    same = reduce(lambda a, b: a & b, [new[k].eqNullSafe(there[k]) for k in keys])
+    return new.join(there, same, "left_anti").dropDuplicates(list(keys))

@@ -20,13 +20,31 @@ def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.union(right).distinct()
 
 
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONS = (T.FloatType, T.DoubleType)
+_TIMES = (T.DateType, T.TimestampType)
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which values of ``a`` and ``b`` are compared; never narrower than either."""
+    if a == b:
+        return a
+    if isinstance(a, _INTEGERS) and isinstance(b, _INTEGERS):
+        return max(a, b, key=lambda t: _INTEGERS.index(type(t)))
+    if isinstance(a, (*_INTEGERS, *_FRACTIONS)) and isinstance(b, (*_INTEGERS, *_FRACTIONS)):
+        return T.DoubleType()
+    if isinstance(a, _TIMES) and isinstance(b, _TIMES):
+        return T.TimestampType()
+    return T.StringType()
+
+
 def align_types(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Positionally cast both sides to one type per column.
+    """Positionally cast both sides to one type per column that holds the values of both.
 
-    When ``left`` holds a string where ``right`` has another type (an inferred read
-    against a declared one), ``right`` is cast to string; otherwise ``left`` is cast to
-    ``right``'s type with ``try_cast`` (a value that does not fit becomes NULL instead of
-    failing the job under ANSI mode). Output names are ``left``'s.
+    No side is narrowed: integers meet in the wider one, an integer and a fraction in
+    double, a date and a timestamp in the timestamp, all else as strings. A value that one
+    side could not hold (3000000000 or 1.5 against a declared int) therefore stays what it
+    was read as. Output names are ``left``'s.
     """
     if len(left.columns) != len(right.columns):
         raise ValueError(f"column count differs: {len(left.columns)} vs {len(right.columns)}")
@@ -34,14 +52,9 @@ def align_types(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame
     rcols: list[Column] = []
     for lf, rf in zip(left.schema.fields, right.schema.fields):
         lc, rc = F.col(f"`{lf.name}`"), F.col(f"`{rf.name}`")
-        if lf.dataType == rf.dataType:
-            pass
-        elif isinstance(lf.dataType, T.StringType):
-            rc = rc.cast(T.StringType())
-        else:
-            lc = lc.try_cast(rf.dataType)
-        lcols.append(lc.alias(lf.name))
-        rcols.append(rc.alias(lf.name))
+        common = common_type(lf.dataType, rf.dataType)
+        lcols.append((lc if lf.dataType == common else lc.cast(common)).alias(lf.name))
+        rcols.append((rc if rf.dataType == common else rc.cast(common)).alias(lf.name))
     return left.select(*lcols), right.select(*rcols)
 
 

@@ -8,6 +8,7 @@ folder (``larder.storage``), a fresh directory per run.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,11 @@ from ..operators.keys import new_keys_only
 from ..operators.partitioning import cluster_by
 from ..operators.registry import apply_transform
 from ..quality import checks
+from ..sessionconf import small_files_session
 from ..sinks import files as sinks
 from ..sources import files as src
 from ..storage import scratch_path
-from . import marts, roles
+from . import daily, feed, marts, roles
 from .roles import with_bronze_sql as W
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -114,7 +116,8 @@ def q_fact_orders(spark, d):
 @query("repartition_key", _FACT_ORDERS_SQL)
 def q_repartition_key(spark, d):
     """R1 with a fixed partition count (for example one per warehouse connection)."""
-    return marts.fact_orders(silver(spark, d, "orders"), num_partitions=16)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return marts.fact_orders(silver(spark, d, "orders"), num_partitions=tasks)
 
 
 @query("fact_out_of_stock", WS("SELECT product_id, date AS oos_date FROM s_out_of_stock", "out_of_stock"))
@@ -146,15 +149,15 @@ def q_calendar_one_day(spark, d):
 
 
 @query("append_new_keys", W(
-    f"SELECT {CAL_SQL} FROM (SELECT DISTINCT date AS action_date FROM b_out_of_stock) n "
-    "WHERE NOT EXISTS (SELECT 1 FROM b_orders o WHERE o.order_date = n.action_date)",
-    "orders", "out_of_stock"))
+    f"SELECT {CAL_SQL} FROM (SELECT DISTINCT date AS action_date FROM b_landed "
+    "EXCEPT SELECT CASE WHEN month(order_date) = 2 THEN NULL ELSE order_date END FROM b_orders) n",
+    "landed", "orders"))
 def q_append_new_keys(spark, d):
-    """K5b — calendar rows of out-of-stock days that the order calendar does not hold yet."""
-    existing = cal.with_calendar_parts(rel.distinct(bronze(spark, d, "orders").select(
-        F.col("order_date").alias(cal.DATE_COL))))
-    new = cal.with_calendar_parts(rel.distinct(bronze(spark, d, "out_of_stock").select(
-        F.col("date").alias(cal.DATE_COL))))
+    """K5b — calendar rows of out-of-stock days that the order calendar does not hold yet: keys
+    repeat in the new rows, and both sides have rows without a date."""
+    order_date = F.when(F.month("order_date") != 2, F.col("order_date"))
+    existing = cal.with_calendar_parts(bronze(spark, d, "orders").select(order_date.alias(cal.DATE_COL)))
+    new = cal.with_calendar_parts(roles.landed_out_of_stock(spark, d).select(F.col("date").alias(cal.DATE_COL)))
     return new_keys_only(new, existing, [cal.DATE_COL])
 
 
@@ -266,25 +269,10 @@ def q_scan_csv_inferred(spark, d):
 
 def _land_feed(spark, d, name: str) -> str:
     root = scratch_path(spark, name)
-    sinks.land_json_days(bronze(spark, d, "out_of_stock"), root)
+    sinks.land_json_days(bronze(small_files_session(spark), d, "out_of_stock"), root)
     return root
 
 
-_LANDED: dict[tuple[str, str], str] = {}
-
-
-def _landed_feed(spark, d, name: str) -> str:
-    """The out-of-stock feed landed as JSON days: input of the feed-reading queries.
-
-    Landed once per Spark application and test-table folder, like the daily landing that
-    all downstream jobs of a day read.
-    """
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _LANDED:
-        _LANDED[key] = _land_feed(spark, d, "landed_feed")
-    return _LANDED[key]
-
-
 def _feed_days(spark, d) -> list:
     """Logical dates present in the feed (one value per day, not per row)."""
     days = bronze(spark, d, "out_of_stock").select("date").distinct().orderBy("date")
@@ -306,41 +294,101 @@ def q_land_json_daily(spark, d):
 @query("scan_json_daily", W(
     "SELECT * FROM b_out_of_stock WHERE date = (SELECT max(date) FROM b_out_of_stock)", "out_of_stock"))
 def q_scan_json_daily(spark, d):
-    """S3 — one logical day (the latest) of the landed feed."""
-    root = _landed_feed(spark, d, "scan_json_daily")
-    run_date = bronze(spark, d, "out_of_stock").agg(F.max("date")).first()[0]
-    return src.read_json_day(spark, root, run_date, contracts.BRONZE["out_of_stock"])
+    """S3 — one logical day (the latest) of a feed landed as ``<root>/<date>/data.json``; the
+    day before lies beside it."""
+    root = scratch_path(spark, "scan_json_daily")
+    events = bronze(spark, d, "out_of_stock")
+    run_date = events.agg(F.max("date")).first()[0]
+    for back in (1, 0):
+        day = run_date - dt.timedelta(days=back)
+        sinks.land_json_day(events.where(F.col("date") == F.lit(day)), root, day, layout="dated")
+    return src.read_json_day(spark, root, run_date, contracts.BRONZE["out_of_stock"], layout="dated")
 
 
 @query("backfill_dates", W("SELECT * FROM b_out_of_stock", "out_of_stock"))
 def q_backfill_dates(spark, d):
     """S8 — all days of the feed in one scan, by an explicit list of run dates."""
-    root = _landed_feed(spark, d, "backfill_dates")
+    root = _land_feed(spark, d, "backfill_dates")
     return src.read_json_days(spark, root, _feed_days(spark, d), contracts.BRONZE["out_of_stock"])
 
 
 @query("silver_out_of_stock_daily", WS("SELECT * FROM s_out_of_stock", "out_of_stock"))
 def q_silver_out_of_stock_daily(spark, d):
-    """D2 — landed JSON -> de-duplicated -> silver Parquet partitioned by date (re-runnable)."""
-    root = _landed_feed(spark, d, "silver_out_of_stock_daily")
-    feed = src.read_json_days(spark, root, _feed_days(spark, d), contracts.BRONZE["out_of_stock"])
+    """D2 — landed JSON -> silver Parquet by landing day and event date -> distinct events."""
+    spark = small_files_session(spark)
+    root = _land_feed(spark, d, "silver_out_of_stock_daily")
     out = scratch_path(spark, "silver_out_of_stock_daily_silver")
-    sinks.write_parquet_daily(apply_transform(feed, "transform_common"), out, "date")
-    return src.read_parquet(spark, out, contracts.BRONZE["out_of_stock"])
+    feed.load_days(spark, root, _feed_days(spark, d), out)
+    return feed.read_events(spark, out)
 
 
 @query("stream_out_of_stock", WS("SELECT * FROM s_out_of_stock", "out_of_stock"))
 def q_stream_out_of_stock(spark, d):
-    """D2 as an availableNow file stream over the landed days (exactly-once per day)."""
+    """D2 as an availableNow file stream over the landed days."""
     from ..streaming.feed import run_feed_to_silver
 
+    spark = small_files_session(spark)
     out = scratch_path(spark, "stream_out_of_stock")
-    run_feed_to_silver(spark, _landed_feed(spark, d, "stream_out_of_stock"), f"{out}/silver", f"{out}/checkpoint")
-    return src.read_parquet(spark, f"{out}/silver", contracts.BRONZE["out_of_stock"])
+    run_feed_to_silver(spark, _land_feed(spark, d, "stream_out_of_stock"), f"{out}/silver", f"{out}/checkpoint")
+    return feed.read_events(spark, f"{out}/silver")
+
+
+_EVENTS_SQL = W("SELECT DISTINCT product_id, date FROM b_landed", "landed")
+
 
+def _days_of(events: DataFrame) -> list:
+    return sorted(r[0] for r in events.select("day").distinct().collect())  # landing days, not rows
 
-def _write_twice(spark, df: DataFrame, name: str, **kw) -> str:
-    out = scratch_path(spark, name)
+
+@query("oos_late_rows", _EVENTS_SQL)
+def q_oos_late_rows(spark, d):
+    """D2 with late rows and rows without a date: odd landing days, then even ones, then the odd
+    ones once more; no run takes away what another brought."""
+    spark = small_files_session(spark)
+    root, out = scratch_path(spark, "oos_late_rows_feed"), scratch_path(spark, "oos_late_rows")
+    events = roles.landed_out_of_stock(spark, d)
+    sinks.land_json_days(events, root, "day")
+    days = _days_of(events)
+    for parity in (1, 0, 1):
+        feed.load_days(spark, root, [x for x in days if x.toordinal() % 2 == parity], out)
+    return feed.read_events(spark, out)
+
+
+@query("oos_late_rows_stream", _EVENTS_SQL)
+def q_oos_late_rows_stream(spark, d):
+    """The same feed through the stream: odd days are landed and run, then even ones, and the
+    run is repeated."""
+    from ..streaming.feed import run_feed_to_silver
+
+    spark = small_files_session(spark)
+    root, out = scratch_path(spark, "oos_late_rows_stream_feed"), scratch_path(spark, "oos_late_rows_stream")
+    events = roles.landed_out_of_stock(spark, d)
+    odd = F.pmod(F.unix_date("day"), F.lit(2)) == 0  # every other day, as date ordinals are odd and even
+    for part in (events.where(odd), events.where(~odd), None):
+        if part is not None:
+            sinks.land_json_days(part, root, "day")
+        run_feed_to_silver(spark, root, f"{out}/silver", f"{out}/checkpoint")
+    return feed.read_events(spark, f"{out}/silver")
+
+
+@query("fact_oos_full_then_daily", W("SELECT DISTINCT product_id, date AS oos_date FROM b_landed", "landed"))
+def q_fact_oos_full_then_daily(spark, d):
+    """D8 — a full build of the fact, then the refresh of the latest landing day: both write one
+    layout, so the fact is whole, rows without a date included."""
+    spark = small_files_session(spark)
+    base = scratch_path(spark, "fact_oos_full_then_daily")
+    layout = daily.ShopLayout(f"{base}/bronze", f"{base}/feed", f"{base}/silver", f"{base}/gold")
+    events = roles.landed_out_of_stock(spark, d)
+    sinks.write_parquet_daily(rel.distinct(events), layout.silver_table("out_of_stock"), ("day", "date"))
+    daily.build_gold(spark, layout, tables=["fact_out_of_stock"])
+    run_date = events.agg(F.max("day")).first()[0]
+    sinks.land_json_days(events.where(F.col("day") == F.lit(run_date)), layout.feed, "day")
+    daily.run_out_of_stock(spark, layout, [run_date])
+    return src.read_parquet(spark, f"{layout.gold}/fact_out_of_stock", contracts.GOLD["fact_out_of_stock"])
+
+
+def _write_twice(df: DataFrame, name: str, **kw) -> str:
+    out = scratch_path(df.sparkSession, name)
     sinks.write_parquet(df, out, **kw)
     sinks.write_parquet(df, out, **kw)
     return out
@@ -349,7 +397,7 @@ def _write_twice(spark, df: DataFrame, name: str, **kw) -> str:
 @query("sink_parquet_overwrite", WS("SELECT * FROM s_clients", "clients"))
 def q_sink_parquet_overwrite(spark, d):
     """K1 — overwrite twice: the table holds one copy."""
-    out = _write_twice(spark, silver(spark, d, "clients"), "sink_parquet_overwrite", mode="overwrite")
+    out = _write_twice(silver(small_files_session(spark), d, "clients"), "sink_parquet_overwrite", mode="overwrite")
     return src.read_parquet(spark, out, contracts.BRONZE["clients"])
 
 
@@ -357,7 +405,7 @@ def q_sink_parquet_overwrite(spark, d):
     "SELECT * FROM s_out_of_stock UNION ALL SELECT * FROM s_out_of_stock", "out_of_stock"))
 def q_sink_parquet_append(spark, d):
     """K2 — append partitioned by date twice: every row is stored twice (plain append)."""
-    out = _write_twice(spark, silver(spark, d, "out_of_stock"), "sink_parquet_append",
+    out = _write_twice(silver(small_files_session(spark), d, "out_of_stock"), "sink_parquet_append",
                        mode="append", partition_by="date")
     return src.read_parquet(spark, out, contracts.BRONZE["out_of_stock"])
 
@@ -365,7 +413,7 @@ def q_sink_parquet_append(spark, d):
 @query("sink_daily_idempotent", WS("SELECT * FROM s_out_of_stock", "out_of_stock"))
 def q_sink_daily_idempotent(spark, d):
     """K2b — dynamic partition overwrite twice: re-running the days does not duplicate."""
-    out = _write_twice(spark, silver(spark, d, "out_of_stock"), "sink_daily_idempotent",
+    out = _write_twice(silver(small_files_session(spark), d, "out_of_stock"), "sink_daily_idempotent",
                        mode="overwrite", partition_by="date", dynamic=True)
     return src.read_parquet(spark, out, contracts.BRONZE["out_of_stock"])
 
@@ -382,50 +430,91 @@ def q_scan_parquet(spark, d):
 def q_scan_partitioned(spark, d):
     """S5 — Hive-partitioned silver orders: ``store_id`` typed from the directory names,
     NULL stores read back from the default partition, column moved to the end."""
+    spark = small_files_session(spark)
     out = scratch_path(spark, "scan_partitioned")
     sinks.write_parquet(silver(spark, d, "orders"), out, partition_by="store_id")
     return src.read_parquet(spark, out)
 
 
+def _bronze_to_silver(spark, d, table: str) -> DataFrame:
+    """D1: CSV snapshot -> declared read -> registry transform -> Parquet (partitioned if the
+    contract says so) -> silver read in declared column order."""
+    spark = small_files_session(spark)
+    path = _land_bronze_csv(spark, d, table, f"bronze_to_silver_{table}")
+    out = scratch_path(spark, f"bronze_to_silver_{table}_silver")
+    daily.bronze_to_silver(spark, table, path, out)
+    return src.read_parquet(spark, out, contracts.BRONZE[table])
+
+
 @query("bronze_to_silver", WS("SELECT * FROM s_orders", "orders"))
 def q_bronze_to_silver(spark, d):
-    """D1 for orders: CSV snapshot -> declared read -> registry transform -> partitioned
-    Parquet -> silver read in declared column order."""
-    from .daily import bronze_to_silver
+    """D1 for orders, partitioned by store."""
+    return _bronze_to_silver(spark, d, "orders")
 
-    bronze_root = scratch_path(spark, "bronze_to_silver_bronze")
-    silver_root = scratch_path(spark, "bronze_to_silver_silver")
-    sinks.write_csv_snapshot(bronze(spark, d, "orders"), bronze_root, "run", "orders")
-    bronze_to_silver(spark, "orders", sinks.snapshot_path(bronze_root, "run", "orders"),
-                     f"{silver_root}/orders")
-    return src.read_parquet(spark, f"{silver_root}/orders", contracts.BRONZE["orders"])
 
+def _bronze_to_silver_query(table: str) -> None:
+    @query(f"bronze_to_silver_{table}", WS(f"SELECT * FROM s_{table}", table))
+    def q(spark, d):
+        return _bronze_to_silver(spark, d, table)
 
-_REJECT_DEPTS = W(
-    "SELECT * FROM b_departments EXCEPT ALL "
-    "SELECT DISTINCT * FROM b_departments WHERE department IS NOT NULL", "departments")
+
+for _t in contracts.BRONZE:
+    if _t != feed.TABLE:
+        _bronze_to_silver_query(_t)
 
 
-@query("rejects_diff", _REJECT_DEPTS)
+def _land_csv_lines(spark, d, table: str, name: str) -> str:
+    """A raw extract with values that do not fit: its lines as they are, under the header."""
+    path = scratch_path(spark, name)
+    header = ",".join(contracts.BRONZE[table])
+    lines = roles.csv_lines(spark, d, table).select(F.col("line").alias(header))
+    (lines.write.options(header="true", sep="\u0001", quote="\u0002", escape="\u0002",
+                         ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path))
+    return path
+
+
+_DIRTY = {t: f"WITH raw AS ({roles.csv_sql(t)}) " for t in ("departments", "products")}
+
+
+@query("rejects_diff", _DIRTY["departments"] + (
+    "SELECT r_department_id AS department_id, department FROM raw EXCEPT ALL "
+    "SELECT DISTINCT CAST(department_id AS VARCHAR), department FROM raw WHERE department IS NOT NULL"))
 def q_rejects_diff(spark, d):
-    """U3/D3 — raw (inferred) departments minus silver: NULL names and surplus copies."""
-    path = _land_bronze_csv(spark, d, "departments", "rejects_diff")
+    """U3/D3 — raw (inferred) departments minus silver: values that do not fit, as they stand in
+    the extract, NULL names and surplus copies."""
+    path = _land_csv_lines(spark, d, "departments", "rejects_diff")
     raw = src.read_csv_inferred(spark, path)
     clean = apply_transform(src.read_csv(spark, path, contracts.BRONZE["departments"]), "transform_departments")
     return checks.rejected_rows(raw, clean)
 
 
-@query("sink_csv_rejects", W(
-    "SELECT * FROM b_products EXCEPT ALL SELECT DISTINCT * FROM b_products", "products"))
-def q_sink_csv_rejects(spark, d):
-    """K3/D3 — the products reject set written as CSV under ``<silver>_errors/<date>`` and read back."""
-    from .daily import bronze_to_silver
+def _reasoned_sql(table: str, null_column: str | None) -> str:
+    cols = ", ".join(contracts.BRONZE[table])
+    null = f"{null_column} IS NULL" if null_column else "false"
+    parts = [f"SELECT {cols}, line AS raw_line, 'malformed' AS reason FROM raw WHERE bad"]
+    if null_column:
+        parts.append(f"SELECT {cols}, CAST(NULL AS VARCHAR), 'null:{null_column}' FROM raw WHERE NOT bad AND {null}")
+    parts.append(f"SELECT {cols}, CAST(NULL AS VARCHAR), 'duplicate' FROM (SELECT {cols}, unnest(range(n - 1)) FROM "
+                 f"(SELECT {cols}, count(*) AS n FROM raw WHERE NOT bad AND NOT ({null}) GROUP BY {cols}))")
+    return _DIRTY[table] + " UNION ALL ".join(parts)
+
 
-    path = _land_bronze_csv(spark, d, "products", "sink_csv_rejects")
-    silver_root = scratch_path(spark, "sink_csv_rejects_silver")
-    bronze_to_silver(spark, "products", path, f"{silver_root}/products", rejects_date="run")
-    return src.read_csv(spark, sinks.rejects_path(f"{silver_root}/products", "run"),
-                        contracts.BRONZE["products"])
+@query("rejects_reasoned", _reasoned_sql("departments", "department"))
+def q_rejects_reasoned(spark, d):
+    """D3 with reasons, from one scan: malformed lines, NULL names and surplus copies."""
+    path = _land_csv_lines(spark, d, "departments", "rejects_reasoned")
+    raw = src.read_csv(spark, path, contracts.BRONZE["departments"], corrupt_column=src.CORRUPT_COLUMN)
+    return checks.rejects_with_reason(raw, ["department"], corrupt_column=src.CORRUPT_COLUMN)
+
+
+@query("sink_csv_rejects", _reasoned_sql("products", None))
+def q_sink_csv_rejects(spark, d):
+    """K3/D3 — the products reject log written as CSV under ``<silver>_errors/<date>`` and read back."""
+    path = _land_csv_lines(spark, d, "products", "sink_csv_rejects")
+    out = f"{scratch_path(spark, 'sink_csv_rejects_silver')}/products"
+    daily.bronze_to_silver(spark, "products", path, out, rejects_date="run")
+    schema = {**contracts.BRONZE["products"], checks.RAW_LINE_COLUMN: {"type": contracts.STR}, checks.REASON_COLUMN: {"type": contracts.STR}}
+    return src.read_csv(spark, sinks.rejects_path(out, "run"), schema)
 
 
 # ----------------------------------------------------------------------- quality checks
@@ -558,39 +647,15 @@ def q_check_gold_contracts(spark, d):
     return out
 
 
-@query("rejects_reasoned", W(
-    "SELECT department_id, department, 'null:department' AS reason FROM b_departments WHERE department IS NULL "
-    "UNION ALL SELECT department_id, department, 'duplicate' AS reason FROM "
-    "(SELECT department_id, department, unnest(range(n - 1)) AS i FROM "
-    "(SELECT department_id, department, count(*) AS n FROM b_departments WHERE department IS NOT NULL "
-    "GROUP BY department_id, department))", "departments"))
-def q_rejects_reasoned(spark, d):
-    """D3 with reasons: departments dropped by the NULL filter and surplus copies."""
-    path = _land_bronze_csv(spark, d, "departments", "rejects_reasoned")
-    raw = src.read_csv(spark, path, contracts.BRONZE["departments"])
-    return checks.rejects_with_reason(raw, ["department"])
-
-
-_SILVER_OOS: dict[tuple[str, str], str] = {}
-
-
-def _silver_out_of_stock_table(spark, d) -> str:
-    """Silver out-of-stock partitioned by date, written once per application and folder
-    (the table the daily fact refresh reads)."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _SILVER_OOS:
-        out = scratch_path(spark, "silver_out_of_stock_table")
-        sinks.write_parquet_daily(silver(spark, d, "out_of_stock"), out, "date")
-        _SILVER_OOS[key] = out
-    return _SILVER_OOS[key]
-
-
 @query("fact_out_of_stock_day", WS(
     "SELECT product_id, date AS oos_date FROM s_out_of_stock "
     "WHERE date = (SELECT max(date) FROM s_out_of_stock)", "out_of_stock"))
 def q_fact_out_of_stock_day(spark, d):
-    """D8 incremental — the fact rows of one run date (the latest day) from the silver
-    table partitioned by date: the date filter prunes to a single folder."""
-    silver_table = src.read_parquet(spark, _silver_out_of_stock_table(spark, d), contracts.BRONZE["out_of_stock"])
-    run_date = bronze(spark, d, "out_of_stock").agg(F.max("date")).first()[0]
-    return marts.fact_out_of_stock(silver_table, run_date=run_date)
+    """D8 incremental — the fact rows of one event date (the latest) from silver by landing day
+    and event date: the date filter prunes to that date's folders."""
+    spark = small_files_session(spark)
+    out = scratch_path(spark, "fact_out_of_stock_day")
+    events = silver(spark, d, "out_of_stock").withColumn("day", F.col("date"))
+    sinks.write_parquet_daily(events, out, ("day", "date"))
+    run_date = events.agg(F.max("date")).first()[0]
+    return marts.fact_out_of_stock(feed.read_events(spark, out), run_date=run_date)

@@ -10,31 +10,39 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import contracts
 from ..operators.registry import apply_transform
-from ..quality.checks import conform, rejected_rows
+from ..quality.checks import conform, rejects_with_reason
+from ..sessionconf import small_files_session
 from ..sinks import files as sinks
 from ..sources import files as src
-from . import marts
+from ..storage import children, exists, remove
+from . import feed, marts
 
 GoldWriter = Callable[[DataFrame, str], None]
 
+# Columns that a silver transform filters on.
+NOT_NULL = {"transform_aisles": ("aisle",), "transform_departments": ("department",), "transform_types": ("type",)}
+
 
 @dataclass(frozen=True)
 class ShopLayout:
-    """Storage roots: ``bronze/<date>/<table>`` CSV snapshots, ``feed/day=<date>`` JSON,
-    ``silver/<table>`` Parquet, ``gold/<table>`` Parquet (when no warehouse writer)."""
+    """Storage roots: CSV snapshots by date, JSON feed by date (how: ``SNAPSHOT_LAYOUTS`` and
+    ``FEED_LAYOUTS``), ``silver/<table>`` Parquet, ``gold/<table>`` Parquet (when no warehouse
+    writer)."""
 
     bronze: str
     feed: str
     silver: str
     gold: str
+    snapshot_layout: str = "folder"
+    feed_layout: str = "day"
 
     def silver_table(self, table: str) -> str:
         return f"{self.silver.rstrip('/')}/{table}"
@@ -47,51 +55,56 @@ def bronze_to_silver(
     silver_path: str,
     *,
     rejects_date: dt.date | str | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> None:
     """D1 (and D3 with ``rejects_date``): declared CSV read -> named transform -> Parquet.
 
     The silver table is fully overwritten (a snapshot), partitioned if its contract says
-    so. With ``rejects_date`` the rows of a second, schemaless read that did not reach
-    silver are written as CSV under ``<silver>_errors/<date>/rejected.csv``.
+    so. Quoted line breaks are read where the contract (``MULTILINE``) or ``multiline`` says
+    that the table has them. A value that does not fit its column is NULL in silver. With
+    ``rejects_date`` every row that was not taken over as it was (malformed lines with the
+    line, rows dropped by the NULL filter, surplus copies) is written with its reason as CSV
+    under ``<silver>_errors/<date>/rejected.csv``.
     """
-    df = src.read_csv(spark, bronze_path, contracts.BRONZE[table], multiline=multiline)
-    clean = apply_transform(df, contracts.SILVER_TRANSFORM[table])
+    multiline = table in contracts.MULTILINE if multiline is None else multiline
+    spark = small_files_session(spark)
+    read = lambda corrupt: src.read_csv(spark, bronze_path, contracts.BRONZE[table], multiline=multiline, corrupt_column=corrupt)
+    clean = apply_transform(read(None), contracts.SILVER_TRANSFORM[table])
     sinks.write_parquet(clean, silver_path, mode="overwrite", partition_by=contracts.SILVER_PARTITION.get(table))
     if rejects_date is not None:
-        raw = src.read_csv_inferred(spark, bronze_path, multiline=multiline)
-        sinks.write_csv(rejected_rows(raw, clean), sinks.rejects_path(silver_path, rejects_date))
+        rejects = rejects_with_reason(read(src.CORRUPT_COLUMN), NOT_NULL.get(contracts.SILVER_TRANSFORM[table], ()),
+                                      corrupt_column=src.CORRUPT_COLUMN)
+        sinks.write_csv(rejects, sinks.rejects_path(silver_path, rejects_date))
 
 
-def out_of_stock_to_silver(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date],
-                           *, idempotent: bool = True) -> list[dt.date]:
-    """D2 (and S8 for several dates): landed JSON days -> de-duplicated -> silver by date.
+def out_of_stock_to_silver(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date]) -> DataFrame:
+    """D2 (and S8 for several dates): landed JSON days -> silver, each landing day replaced whole.
 
-    ``idempotent`` replaces the days being loaded (dynamic partition overwrite); without
-    it the days are appended, so a re-run stores them twice. Returns the distinct event
-    dates the loaded rows carry (one value per day, a partial + final distinct over the
-    ``date`` field of the landed days).
+    Returns the event dates (column ``date``, NULL included) whose facts may have changed.
     """
-    feed = src.read_json_days(spark, layout.feed, list(run_dates), contracts.BRONZE["out_of_stock"])
-    clean = apply_transform(feed, contracts.SILVER_TRANSFORM["out_of_stock"])
-    target = layout.silver_table("out_of_stock")
-    if idempotent:
-        sinks.write_parquet_daily(clean, target, "date")
-    else:
-        sinks.write_parquet(clean, target, mode="append", partition_by="date")
-    days = apply_transform(
-        src.read_json_days(spark, layout.feed, list(run_dates), contracts.BRONZE["out_of_stock"]).select("date"),
-        "transform_common")
-    return [r[0] for r in days.collect() if r[0] is not None]
+    return feed.load_days(small_files_session(spark), layout.feed, run_dates, layout.silver_table("out_of_stock"),
+                          layout=layout.feed_layout)
 
 
 def read_silver(spark: SparkSession, layout: ShopLayout, table: str) -> DataFrame:
+    if table == feed.TABLE:
+        return feed.read_events(spark, layout.silver_table(table))
     return src.read_parquet(spark, layout.silver_table(table), contracts.BRONZE[table])
 
 
+def gold_path(spark: SparkSession, layout: ShopLayout, table: str) -> str:
+    """Where a Parquet gold table lies; refuses a table that is stored in another layout."""
+    path = f"{layout.gold.rstrip('/')}/{table}"
+    partition = contracts.GOLD_PARTITION.get(table)
+    stray = [n for n in children(spark, path) if (not n.startswith(f"{partition}=") if partition else "=" in n)]
+    if stray:
+        raise ValueError(f"{path} is not laid out as {table} is (partition column {partition}): it holds {stray[0]}")
+    return path
+
+
 def parquet_gold(layout: ShopLayout) -> GoldWriter:
     def write(df: DataFrame, table: str) -> None:
-        sinks.write_parquet(df, f"{layout.gold.rstrip('/')}/{table}")
+        sinks.write_parquet(df, gold_path(df.sparkSession, layout, table), partition_by=contracts.GOLD_PARTITION.get(table))
     return write
 
 
@@ -99,6 +112,7 @@ def build_gold(spark: SparkSession, layout: ShopLayout, write: GoldWriter | None
                *, tables: Iterable[str] | None = None) -> None:
     """Silver -> gold: the configured dimension and fact refreshes (full overwrite each)."""
     write = write or parquet_gold(layout)
+    spark = small_files_session(spark)
     s = lambda t: read_silver(spark, layout, t)
     builders: dict[str, Callable[[], DataFrame]] = {
         "dim_stores": lambda: marts.dim_stores(s("stores"), s("store_types")),
@@ -114,39 +128,50 @@ def build_gold(spark: SparkSession, layout: ShopLayout, write: GoldWriter | None
 
 
 def run_shop_snapshot(spark: SparkSession, layout: ShopLayout, run_date: dt.date,
-                      write: GoldWriter | None = None) -> None:
-    """Relational feed for one day: every bronze snapshot to silver, then the marts."""
-    for table in contracts.SILVER_TRANSFORM:
-        if table == "out_of_stock":
-            continue
-        bronze_path = sinks.snapshot_path(layout.bronze, run_date, table)
-        bronze_to_silver(spark, table, bronze_path, layout.silver_table(table))
+                      write: GoldWriter | None = None, *, rejects: bool = False, parallel: int = 4) -> None:
+    """Relational feed for one day: every bronze snapshot to silver, then the marts.
+
+    The tables are independent, so up to ``parallel`` of them are loaded side by side.
+    """
+    def load(table: str) -> None:
+        bronze_path = src.snapshot_path(layout.bronze, run_date, table, layout.snapshot_layout)
+        bronze_to_silver(spark, table, bronze_path, layout.silver_table(table), rejects_date=run_date if rejects else None)
+
+    tables = [t for t in contracts.SILVER_TRANSFORM if t != feed.TABLE]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        list(pool.map(inheritable_thread_target(spark)(load), tables))
     build_gold(spark, layout, write,
                tables=["dim_stores", "dim_products", "dim_clients", "dim_area", "fact_orders"])
 
 
-def refresh_fact_out_of_stock_days(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date]) -> None:
-    """D8 incremental on the Parquet gold layer: only the run dates are read from silver
-    (partition pruning on ``date``) and only those days are replaced in gold (partitioned
-    by ``oos_date``), so a daily run costs one day, not the whole history."""
-    days = list(run_dates)
-    silver = read_silver(spark, layout, "out_of_stock").where(F.col("date").isin(days))
-    facts = conform(marts.fact_out_of_stock(silver), contracts.GOLD["fact_out_of_stock"])
-    sinks.write_parquet(facts, f"{layout.gold.rstrip('/')}/fact_out_of_stock",
-                        mode="overwrite", partition_by="oos_date", dynamic=True)
+def refresh_fact_out_of_stock(spark: SparkSession, layout: ShopLayout, touched: DataFrame) -> None:
+    """D8 incremental on the Parquet gold layer: only the touched event dates are read from
+    silver and replaced in gold, so a daily run costs its dates, not the whole history.
+
+    A touched date without facts left loses its gold partition.
+    """
+    events = read_silver(spark, layout, feed.TABLE)
+    target = gold_path(spark, layout, "fact_out_of_stock")
+    facts = conform(marts.fact_out_of_stock(feed.of_dates(events, touched)), contracts.GOLD["fact_out_of_stock"])
+    sinks.write_parquet(facts, target, mode="overwrite", partition_by=contracts.GOLD_PARTITION["fact_out_of_stock"], dynamic=True)
+    gone = touched.where("date IS NOT NULL").join(events.select("date").distinct(), "date", "left_anti")
+    for row in gone.collect():  # touched dates alone, each a folder
+        remove(spark, f"{target}/oos_date={row['date']}")
+    if touched.where("date IS NULL").count() and events.where("date IS NULL").isEmpty():
+        remove(spark, f"{target}/oos_date={feed.NULL_FOLDER}")
 
 
 def run_out_of_stock(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date],
                      write: GoldWriter | None = None) -> None:
     """Out-of-stock feed for one or more days: landed JSON -> silver -> fact refresh.
 
-    With the Parquet gold layer the fact refresh is incremental (only ``run_dates``); a
+    With the Parquet gold layer the fact refresh is incremental (the touched dates); a
     warehouse writer gets the full refresh (a JDBC write cannot replace single days).
     """
+    spark = small_files_session(spark)
     touched = out_of_stock_to_silver(spark, layout, list(run_dates))
     if write is None:
-        if touched:
-            refresh_fact_out_of_stock_days(spark, layout, touched)
+        refresh_fact_out_of_stock(spark, layout, touched)
     else:
         build_gold(spark, layout, write, tables=["fact_out_of_stock"])
 
@@ -156,18 +181,34 @@ def append_calendar_day(spark: SparkSession, existing_dim_date: DataFrame, run_d
     return conform(marts.append_dim_date(spark, existing_dim_date, run_date), contracts.GOLD["dim_date"])
 
 
-def append_calendar_to_gold(spark: SparkSession, layout: ShopLayout, run_date: dt.date) -> None:
-    """D11 on a Parquet gold layer: append the run date's calendar row unless present."""
-    target = f"{layout.gold.rstrip('/')}/dim_date"
-    try:
-        existing = spark.read.parquet(target)
-    except AnalysisException:  # no calendar yet
-        existing = spark.createDataFrame([], contracts.gold_schema("dim_date"))
-    sinks.write_parquet(append_calendar_day(spark, existing, run_date), target, mode="append")
+def append_calendar(spark: SparkSession, layout: ShopLayout, run_date: dt.date, *,
+                    append: GoldWriter | None = None, existing: DataFrame | None = None) -> None:
+    """D11: append the run date's calendar row unless present.
 
+    ``append`` takes the row and the table's name (for example ``append_to_dwh`` bound to a
+    warehouse), ``existing`` is the calendar there; without them both are the Parquet gold
+    layer's. A calendar that does not exist yet is empty; one that cannot be read is an error.
+    """
+    target = gold_path(spark, layout, "dim_date")
+    if existing is None:
+        empty = append is not None or not exists(spark, target)
+        existing = spark.createDataFrame([], contracts.gold_schema("dim_date")) if empty else spark.read.parquet(target)
+    row = append_calendar_day(spark, existing, run_date)
+    if append is not None:
+        append(row, "dim_date")
+    else:
+        sinks.write_parquet(row, target, mode="append")
 
-def run_day(spark: SparkSession, layout: ShopLayout, run_date: dt.date, write: GoldWriter | None = None) -> None:
-    """All feeds of one logical date: shop snapshot, out-of-stock day, calendar append."""
+
+def run_day(spark: SparkSession, layout: ShopLayout, run_date: dt.date, write: GoldWriter | None = None, *,
+            append: GoldWriter | None = None, existing_calendar: DataFrame | None = None) -> None:
+    """All feeds of one logical date: shop snapshot, out-of-stock day, calendar append.
+
+    With a warehouse writer the calendar row goes to the warehouse too, so ``append`` and the
+    warehouse's calendar (for keys that are there already) must be given.
+    """
+    if write is not None and (append is None or existing_calendar is None):
+        raise ValueError("a warehouse run needs an append writer and the warehouse's calendar")
     run_shop_snapshot(spark, layout, run_date, write)
     run_out_of_stock(spark, layout, [run_date], write)
-    append_calendar_to_gold(spark, layout, run_date)
+    append_calendar(spark, layout, run_date, append=append, existing=existing_calendar)

@@ -14,18 +14,17 @@ from ..functions.calendar import DATE_COL, calendar_row, with_calendar_parts
 from ..operators.joins import left_lookup
 from ..operators.keys import new_keys_only
 from ..operators.partitioning import cluster_by
-from ..operators.relational import identity, rename, select_as
+from ..operators.relational import distinct, identity, rename, select_as
 from ..operators.setops import union_distinct
 
 PRODUCT_COLS = ("product_id", "product_name", "department_name", "aisle")
 
 
-def dim_products(products: DataFrame, aisles: DataFrame, departments: DataFrame,
-                 *, broadcast: bool | None = None) -> DataFrame:
+def dim_products(products: DataFrame, aisles: DataFrame, departments: DataFrame) -> DataFrame:
     """D4 — products with their aisle and department names (two lookups)."""
-    with_aisle = left_lookup(products, aisles, {"aisle_id": "aisle_id"}, {"aisle": "aisle"}, broadcast=broadcast)
+    with_aisle = left_lookup(products, aisles, {"aisle_id": "aisle_id"}, {"aisle": "aisle"})
     with_dept = left_lookup(with_aisle, departments, {"department_id": "department_id"},
-                            {"department": "department_name"}, broadcast=broadcast)
+                            {"department": "department_name"})
     return with_dept.select(*PRODUCT_COLS)
 
 
@@ -39,10 +38,9 @@ def dim_area(location_areas: DataFrame) -> DataFrame:
     return identity(location_areas)
 
 
-def dim_stores(stores: DataFrame, store_types: DataFrame, *, broadcast: bool | None = None) -> DataFrame:
+def dim_stores(stores: DataFrame, store_types: DataFrame) -> DataFrame:
     """D7 — stores with their area and store-type name."""
-    joined = left_lookup(stores, store_types, {"store_type_id": "store_type_id"}, {"type": "type"},
-                         broadcast=broadcast)
+    joined = left_lookup(stores, store_types, {"store_type_id": "store_type_id"}, {"type": "type"})
     return select_as(joined, {"store_id": "store_id", "area_id": "location_area_id", "type": "type"})
 
 
@@ -63,9 +61,10 @@ def fact_orders(orders: DataFrame, *, cluster: bool = True, num_partitions: int
 
 def action_dates(orders: DataFrame, out_of_stock: DataFrame) -> DataFrame:
     """Every distinct date on which something happened (orders or out-of-stock)."""
+    # Distinct on each side first: the planner then drops a whole-row distinct below it.
     return union_distinct(
-        orders.select(F.col("order_date").alias(DATE_COL)),
-        out_of_stock.select(F.col("date").alias(DATE_COL)),
+        distinct(orders.select(F.col("order_date").alias(DATE_COL))),
+        distinct(out_of_stock.select(F.col("date").alias(DATE_COL))),
     )
 
 

@@ -82,28 +82,22 @@ def contract_report(df: DataFrame, table: str, contract: Spec, keys: Sequence[st
                     max_length: Mapping[str, int] | None = None) -> DataFrame:
     """V1–V3 for one table as rows ``(table_name, check_name, subject, violations)``.
 
-    One aggregate pass counts NULLs in the contract's NOT NULL columns and over-length
-    values; one grouped pass (partial aggregation first) counts duplicated key values.
+    One pass: rows are grouped by the key with their count, NULLs in the contract's NOT
+    NULL columns and over-length values (partial aggregation first), and the groups are
+    summed up.
     """
     struct = to_struct(contract)
     required = [f.name for f in struct.fields if not f.nullable]
     limits = dict(max_length or {})
-    aggs = [F.count_if(F.col(c).isNull()).cast("long").alias(f"null_{i}") for i, c in enumerate(required)]
-    aggs += [F.count_if(F.char_length(F.col(c)) > n).cast("long").alias(f"len_{i}")
-             for i, (c, n) in enumerate(limits.items())]
-
-    def row(check: str, subject: str, value) -> F.Column:
-        return F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-                        F.lit(subject).alias("subject"), value.alias("violations"))
-
-    rows = [row("not_null", c, F.col(f"null_{i}")) for i, c in enumerate(required)]
-    rows += [row(f"max_length_{n}", c, F.col(f"len_{i}")) for i, (c, n) in enumerate(limits.items())]
-    dups = duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("v"))
-    dup_row = dups.select(row("unique_key", ",".join(keys), F.col("v")).alias("r")).select("r.*")
-    if not rows:
-        return dup_row
-    single = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    return single.unionByName(dup_row)
+    found = [("not_null", c, F.count_if(F.col(c).isNull())) for c in required]
+    found += [(f"max_length_{n}", c, F.count_if(F.char_length(F.col(c)) > n)) for c, n in limits.items()]
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[v.alias(f"__v{i}") for i, (_, _, v) in enumerate(found)])
+    totals = groups.agg(F.count_if(F.col("__n") > 1).alias("__dups"),
+                        *[F.coalesce(F.sum(f"__v{i}"), F.lit(0)).alias(f"__v{i}") for i in range(len(found))])
+    values = [(check, c, F.col(f"__v{i}")) for i, (check, c, _) in enumerate(found)] + [("unique_key", ",".join(keys), F.col("__dups"))]
+    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), F.lit(subject).alias("subject"),
+                     v.cast("long").alias("violations")) for check, subject, v in values]
+    return totals.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def rejected_rows(raw: DataFrame, clean: DataFrame, *, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
@@ -117,25 +111,32 @@ def rejected_rows(raw: DataFrame, clean: DataFrame, *, chunk_rows: int = DEFAULT
 
 
 REASON_COLUMN = "reason"
+RAW_LINE_COLUMN = "raw_line"
 
 
-def rejects_with_reason(df: DataFrame, not_null_columns: Sequence[str] = (), *,
+def rejects_with_reason(df: DataFrame, not_null_columns: Sequence[str] = (), *, corrupt_column: str | None = None,
                         chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """D3, reasoned: every row the silver transform (not-null filter, then whole-row
-    de-duplication) drops from ``df``, with why.
-
-    ``null:<column>`` for a row removed by the filter (first NULL column in order),
-    ``duplicate`` for each surplus copy of a kept row. Copies are counted with one
-    partial + final aggregate and regenerated with ``replicate``, so a row repeated a
-    billion times is neither shipped whole through the shuffle nor re-expanded by one task.
+    """D3, reasoned: every row that the reader or the silver transform (not-null filter, then
+    whole-row de-duplication) could not take over as it was, with why.
+
+    ``malformed`` for a row whose line did not fit the schema (``corrupt_column`` of the read
+    holds that line, returned as ``raw_line``), ``null:<column>`` for a row removed by the
+    filter (first NULL column in order), ``duplicate`` for each surplus copy of a kept row.
+    Copies are counted with one partial + final aggregate over one scan and regenerated with
+    ``replicate``, so a row repeated a billion times is neither shipped whole through the
+    shuffle nor re-expanded by one task.
     """
     cols = df.columns
     n = "__larder_n"
     counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
     reason = F.lit("duplicate")
     copies = F.col(n) - 1
-    for c in reversed(list(not_null_columns)):
-        reason = F.when(F.col(c).isNull(), F.lit(f"null:{c}")).otherwise(reason)
-        copies = F.when(F.col(c).isNull(), F.col(n)).otherwise(copies)
-    tagged = counts.select(*[F.col(f"`{c}`") for c in cols], reason.alias(REASON_COLUMN), copies.alias(n))
+    tests = [(F.col(f"`{c}`").isNull(), f"null:{c}") for c in reversed(list(not_null_columns))]
+    if corrupt_column:
+        tests.append((F.col(f"`{corrupt_column}`").isNotNull(), "malformed"))
+    for test, why in tests:
+        reason = F.when(test, F.lit(why)).otherwise(reason)
+        copies = F.when(test, F.col(n)).otherwise(copies)
+    named = [F.col(f"`{c}`").alias(RAW_LINE_COLUMN if c == corrupt_column else c) for c in cols]
+    tagged = counts.select(*named, reason.alias(REASON_COLUMN), copies.alias(n))
     return replicate(tagged, n, chunk_rows=chunk_rows)

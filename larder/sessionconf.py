@@ -1,45 +1,35 @@
-"""Session settings applied for the duration of one action, then restored.
+"""A session for work on thousands of small partition folders.
 
-Used where per-file work, not data volume, decides the cost: writes and reads of
-thousands of small partition folders (a multi-year backfill of small days). Neither
-setting changes anything for large data:
+Per-file work, not data volume, decides the cost of a multi-year backfill of small days.
+Neither setting changes anything for large data:
 
-- partitioned writes lower adaptive execution's coalescing floor, so a small write still
+- adaptive execution's coalescing floor is lowered, so a small partitioned write still
   spreads its folders over all cores (large writes keep the advisory partition size);
-- reads of many folders list them with a few tasks per core instead of one per folder.
+- many folders are listed with a few tasks per core instead of one per folder.
+
+They are set on a session of its own (same context, catalog settings copied), so flows in
+other threads that share the caller's session are not affected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
-
 from pyspark.sql import SparkSession
 
 MIN_PARTITION_CONF = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 LISTING_PARALLELISM_CONF = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 SMALL_WRITE_FLOOR = "1k"
-
-
-@contextmanager
-def scoped_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
-    conf = spark.conf
-    previous = {k: conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                conf.unset(k)
-            else:
-                conf.set(k, v)
-
-
-def partitioned_write(spark: SparkSession) -> Mapping[str, str]:
-    return {MIN_PARTITION_CONF: SMALL_WRITE_FLOOR}
-
-
-def many_folder_listing(spark: SparkSession) -> Mapping[str, str]:
-    return {LISTING_PARALLELISM_CONF: str(max(8, 2 * spark.sparkContext.defaultParallelism))}
+_MARK = "spark.larder.smallFiles"
+
+
+def small_files_session(spark: SparkSession) -> SparkSession:
+    """A new session with ``spark``'s SQL settings and the settings above (itself if it is one)."""
+    if spark.conf.get(_MARK, None):
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set(MIN_PARTITION_CONF, SMALL_WRITE_FLOOR)
+    own.conf.set(LISTING_PARALLELISM_CONF, str(max(8, 2 * spark.sparkContext.defaultParallelism)))
+    own.conf.set(_MARK, "true")
+    return own

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..sessionconf import partitioned_write, scoped_conf
-from ..sources.files import CSV_DIALECT, DAY_KEY, day_dir
+from ..sources.files import CSV_DIALECT, DAY_KEY, day_dir, snapshot_path
 
 
 def _cols(partition_by: str | Sequence[str] | None) -> list[str]:
@@ -28,16 +27,6 @@ def _clustered(df: DataFrame, partition_cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
-@contextmanager
-def _partitioned_write_scope(df: DataFrame, partition_cols: list[str]):
-    if not partition_cols:
-        yield
-        return
-    spark = df.sparkSession
-    with scoped_conf(spark, partitioned_write(spark)):
-        yield
-
-
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -61,11 +50,10 @@ def write_parquet(
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    with _partitioned_write_scope(df, cols):
-        writer.parquet(path)
+    writer.parquet(path)
 
 
-def write_parquet_daily(df: DataFrame, path: str, partition_by: str = "date") -> None:
+def write_parquet_daily(df: DataFrame, path: str, partition_by: str | Sequence[str] = "date") -> None:
     """K2b — re-runnable daily write: overwrite exactly the days present in ``df``."""
     write_parquet(df, path, mode="overwrite", partition_by=partition_by, dynamic=True)
 
@@ -79,10 +67,6 @@ def rejects_path(silver_path: str, run_date: dt.date | str) -> str:
     return f"{silver_path.rstrip('/')}_errors/{run_date}/rejected.csv"
 
 
-def snapshot_path(bronze_root: str, run_date: dt.date | str, table: str) -> str:
-    return f"{bronze_root.rstrip('/')}/{run_date}/{table}"
-
-
 def write_csv_snapshot(df: DataFrame, bronze_root: str, run_date: dt.date | str, table: str) -> str:
     """S7 publish step — ``<bronze>/<date>/<table>`` appears only once fully written."""
     path = snapshot_path(bronze_root, run_date, table)
@@ -90,23 +74,17 @@ def write_csv_snapshot(df: DataFrame, bronze_root: str, run_date: dt.date | str,
     return path
 
 
-def land_json_day(df: DataFrame, root: str, run_date: dt.date | str) -> None:
-    """K6 — land one day's feed under ``<root>/day=<date>/`` (overwrites that day)."""
-    df.write.mode("overwrite").json(day_dir(root, run_date))
+def land_json_day(df: DataFrame, root: str, run_date: dt.date | str, *, layout: str = "day") -> None:
+    """K6 — land one day's feed in its day's folder (overwrites that day)."""
+    df.write.mode("overwrite").json(day_dir(root, run_date, layout))
 
 
 def land_json_days(df: DataFrame, root: str, date_col: str = "date") -> None:
     """K6 for many days at once: one ``day=<date>`` folder per value of ``date_col``.
 
-    Records keep their own date field; only the days present are replaced.
+    Records keep their own date field (a column named ``day`` is the landing day alone and
+    is not written into the records); only the days present are replaced.
     """
-    from pyspark.sql import functions as F
-
-    writer = (
-        _clustered(df.withColumn(DAY_KEY, F.col(date_col)), [DAY_KEY])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY_KEY)
-    )
-    with _partitioned_write_scope(df, [DAY_KEY]):
-        writer.json(root)
+    landed = df.withColumn(DAY_KEY, F.col(date_col))
+    (_clustered(landed, [DAY_KEY]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(DAY_KEY).json(root))

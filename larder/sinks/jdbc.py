@@ -2,7 +2,9 @@
 
 ``overwrite`` truncates instead of dropping, so primary keys and grants declared in the
 warehouse DDL survive. ``num_partitions`` caps concurrent connections (Spark coalesces
-to it before writing). Re-running an append on keyed tables should go through
+to it before writing). A retried task may write rows of a part that its first attempt had
+committed, so keyed tables should be loaded into a staging table that the warehouse swaps
+in or merges from. Re-running an append on keyed tables should go through
 ``larder.operators.keys.new_keys_only`` first.
 """
 
@@ -18,6 +20,9 @@ from ..sources.jdbc import jdbc_options
 OVERWRITE_BATCH_SIZE = 100_000
 QUERY_TIMEOUT_SECONDS = 690
 
+#: Concurrent connections of a write unless the caller gives a number.
+WRITE_CONNECTIONS = 8
+
 
 def warehouse_write_options(
     url: str,
@@ -35,8 +40,7 @@ def warehouse_write_options(
         extra["batchsize"] = batch_size
     if mode == "overwrite" and truncate:
         extra["truncate"] = "true"
-    if num_partitions:
-        extra["numPartitions"] = num_partitions
+    extra["numPartitions"] = num_partitions or WRITE_CONNECTIONS
     if query_timeout:
         extra["queryTimeout"] = query_timeout
     return jdbc_options(url, properties, **extra)

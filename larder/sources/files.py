@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import Spec, to_struct
-from ..sessionconf import many_folder_listing, scoped_conf
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -22,12 +21,26 @@ CORRUPT_COLUMN = "_corrupt_record"
 # (``"a ""b"" c"``), so the escape character is the quote itself.
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 
-# Directory key of a landed daily JSON feed: ``<root>/day=YYYY-MM-DD/``.
+# Column and directory key of the landing day of a daily JSON feed.
 DAY_KEY = "day"
 
+# Where one logical day of a JSON feed, and one table of a daily snapshot, lie.
+FEED_LAYOUTS = {"day": "{root}/day={date}", "dated": "{root}/{date}/data.json"}
+SNAPSHOT_LAYOUTS = {"folder": "{root}/{date}/{table}", "file": "{root}/{date}/{table}.csv"}
 
-def day_dir(root: str, run_date: dt.date | str) -> str:
-    return f"{root.rstrip('/')}/{DAY_KEY}={run_date}"
+
+def day_dir(root: str, run_date: dt.date | str, layout: str = "day") -> str:
+    return FEED_LAYOUTS[layout].format(root=root.rstrip("/"), date=run_date)
+
+
+def snapshot_path(root: str, run_date: dt.date | str, table: str, layout: str = "folder") -> str:
+    return SNAPSHOT_LAYOUTS[layout].format(root=root.rstrip("/"), date=run_date, table=table)
+
+
+def with_landing_day(df: DataFrame, layout: str = "day") -> DataFrame:
+    """``df`` with the landing day of each record, taken from its file's path."""
+    pattern = FEED_LAYOUTS[layout].format(root="", date=r"(\d{4}-\d{2}-\d{2})").replace(".", "[.]")
+    return df.withColumn(DAY_KEY, F.to_date(F.regexp_extract(F.col("_metadata.file_path"), pattern + "/?", 1)))
 
 
 def read_csv(
@@ -61,35 +74,35 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_csv_inferred(spark: SparkSession, path: str | list[str], *, multiline: bool = False,
-                      sampling_ratio: float = 1.0) -> DataFrame:
-    """S2 — CSV with header and inferred types.
-
-    Inference is an extra pass over the input; ``sampling_ratio`` < 1 infers from a
-    sample of the rows (cheaper on large snapshots, but a rare value may then not widen
-    the type and read as NULL).
-    """
+def read_csv_inferred(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
+    """S2 — CSV with header and inferred types (an extra pass over all rows of the input)."""
     return (
         spark.read.options(**CSV_DIALECT)
         .option("inferSchema", "true")
-        .option("samplingRatio", str(sampling_ratio))
         .option("multiLine", "true" if multiline else "false")
         .csv(path)
     )
 
 
-def read_json_day(spark: SparkSession, root: str, run_date: dt.date | str, schema: Spec) -> DataFrame:
+def read_json_day(spark: SparkSession, root: str, run_date: dt.date | str, schema: Spec, *, layout: str = "day") -> DataFrame:
     """S3 — one logical day of a landed JSON feed, with the declared types applied."""
-    return spark.read.schema(to_struct(schema)).json(day_dir(root, run_date))
+    return spark.read.schema(to_struct(schema)).json(day_dir(root, run_date, layout))
+
 
+def read_json_days(spark: SparkSession, root: str, run_dates: Iterable[dt.date | str], schema: Spec, *,
+                   layout: str = "day", landing_day: bool = False) -> DataFrame:
+    """S8 — several logical days in one scan (a backfill). A missing day fails the read.
 
-def read_json_days(spark: SparkSession, root: str, run_dates: Iterable[dt.date | str], schema: Spec) -> DataFrame:
-    """S8 — several logical days in one scan (a backfill). A missing day fails the read."""
-    paths = [day_dir(root, d) for d in run_dates]
+    ``landing_day`` adds the column ``day`` with the day each record was landed on, whatever
+    dates the records themselves carry.
+    """
+    struct = to_struct(schema)
+    paths = [day_dir(root, d, layout) for d in run_dates]
     if not paths:
-        return spark.createDataFrame([], to_struct(schema))
-    with scoped_conf(spark, many_folder_listing(spark)):
-        return spark.read.schema(to_struct(schema)).json(paths)
+        empty = T.StructType(struct.fields + [T.StructField(DAY_KEY, T.DateType())]) if landing_day else struct
+        return spark.createDataFrame([], empty)
+    df = spark.read.schema(struct).json(paths)
+    return with_landing_day(df, layout) if landing_day else df
 
 
 def read_parquet(spark: SparkSession, path: str, schema: Spec | None = None) -> DataFrame:
@@ -98,9 +111,7 @@ def read_parquet(spark: SparkSession, path: str, schema: Spec | None = None) ->
     With a contract, partition columns get the declared type and the declared column order
     is restored (discovery appends partition columns at the end).
     """
-    with scoped_conf(spark, many_folder_listing(spark)):
-        if schema is None:
-            return spark.read.parquet(path)
-        struct = to_struct(schema)
-        df = spark.read.schema(struct).parquet(path)
-    return df.select(*[F.col(f.name) for f in struct.fields])
+    if schema is None:
+        return spark.read.parquet(path)
+    struct = to_struct(schema)
+    return spark.read.schema(struct).parquet(path).select(*[F.col(f"`{f.name}`") for f in struct.fields])

@@ -1,10 +1,10 @@
-"""Where the library may write intermediate tables.
+"""Where the library may write intermediate tables, and the folders under it.
 
 Intermediate and round-trip tables go under the shared folder the cluster names in
 ``spark.checkpoint.dir``: every executor can read it, so a lost executor's work is
-recomputed or re-read instead of vanishing with a machine-local disk. Only when the
-setting is absent (local tests) does the library pick a folder of its own and record it
-in the session, so later calls agree.
+recomputed or re-read instead of vanishing with a machine-local disk. Without the setting
+a local session gets a folder of its own; any other session is refused, as a folder of the
+driver's machine would scatter the table over the executors' disks.
 """
 
 from __future__ import annotations
@@ -13,18 +13,24 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         sc_dir = spark.sparkContext.getCheckpointDir()
         root = os.path.dirname(sc_dir) if sc_dir else None
     if not root:
-        # Unset: local/test session. Pick a folder once; the context remembers it.
+        if not _is_local(spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+        # Local or test session: pick a folder once; the context remembers it.
         root = tempfile.mkdtemp(prefix="larder-shared-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -33,10 +39,52 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory under the shared root for one run of ``name``."""
-    return f"{shared_root(spark)}/larder/{name}/{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/larder/{name}/{uuid.uuid4().hex}"
+    made = getattr(spark.sparkContext, "_larder_scratch", None)
+    if made is None:
+        made = spark.sparkContext._larder_scratch = []
+    made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove all scratch directories this application made; results read from them are gone.
+
+    A query's result may read its scratch tables lazily, so the caller decides when it is
+    done with them (``bench.py`` and ``scripts/check_oracle.py``: after each query).
+    """
+    made = getattr(spark.sparkContext, "_larder_scratch", [])
+    n = len(made)
+    while made:
+        remove(spark, made.pop())
+    return n
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory, hidden ones (``_SUCCESS``, ``.crc``) left out; none if it is missing."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n for n in names if not n.startswith((".", "_")) or "=" in n)
+
+
+def holds_bytes(spark: SparkSession, path: str) -> bool:
+    """Whether any file under ``path`` has content; false if it is missing."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getContentSummary(p).getLength() > 0
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` as a reliable checkpoint in the shared checkpoint folder."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

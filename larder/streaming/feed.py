@@ -1,25 +1,24 @@
-"""D2 as a Structured Streaming job: landed JSON days -> silver, each day exactly once.
+"""D2 as a Structured Streaming job: landed JSON days -> silver.
 
 The file source tracks which landed files were processed (in the checkpoint), so a run
 picks up only days that arrived since the last one; ``trigger(availableNow=True)`` makes
-it a bounded, restartable job that a daily scheduler can call. Each micro-batch finds
-the days it touched, re-reads those whole days from the landing folder, de-duplicates
-them and replaces exactly those days in silver (dynamic partition overwrite). A day
-split across micro-batches, or re-landed later, therefore ends up whole and without
-duplicates; a failed batch is simply replayed.
+it a bounded, restartable job that a daily scheduler can call. Each micro-batch finds the
+landing days it touched and loads those whole days as the batch job does
+(``larder.plans.feed.load_days``): a landing day owns its rows in silver, so late records
+and records without a date stay where they were landed, a day split across micro-batches
+ends up whole, and a failed batch is simply replayed. A day landed again without any record
+brings nothing to a stream; it is dropped at the end of an ``availableNow`` run.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import contracts
-from ..operators.registry import apply_transform
-from ..sessionconf import many_folder_listing, scoped_conf
-from ..sinks.files import write_parquet_daily
-from ..sources.files import DAY_KEY, read_json_days
+from ..plans.feed import drop_missing_days, load_days
+from ..sessionconf import small_files_session
+from ..sources.files import DAY_KEY
 
 FEED = "out_of_stock"
 
@@ -32,19 +31,16 @@ def feed_stream(spark: SparkSession, feed_root: str) -> DataFrame:
 
 def _load_days(feed_root: str, silver_path: str):
     def load(batch: DataFrame, epoch_id: int) -> None:
-        # One value per landed day in the batch: bounded by the calendar, not the rows.
-        days = [r[0] for r in batch.select(DAY_KEY).distinct().collect() if r[0] is not None]
-        if not days:
-            return
-        spark = batch.sparkSession
-        whole_days = read_json_days(spark, feed_root, days, contracts.BRONZE[FEED])
-        clean = apply_transform(whole_days, contracts.SILVER_TRANSFORM[FEED])
-        write_parquet_daily(clean, silver_path, "date")
+        # One value for each landing day in the batch: folders, not rows.
+        days = [r[0] for r in batch.select(DAY_KEY).distinct().collect()]
+        if days:
+            load_days(batch.sparkSession, feed_root, days, silver_path)
     return load
 
 
 def start_feed_to_silver(spark: SparkSession, feed_root: str, silver_path: str, checkpoint: str,
                          *, available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    spark = small_files_session(spark)
     stream = feed_stream(spark, feed_root)
     if max_files_per_trigger:
         stream = spark.readStream.schema(stream.schema).option(
@@ -52,20 +48,14 @@ def start_feed_to_silver(spark: SparkSession, feed_root: str, silver_path: str,
     writer = stream.writeStream.foreachBatch(_load_days(feed_root, silver_path)).option(
         "checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    # The query runs on a copy of the session taken at start: list the landing folder's
-    # many day folders with a few tasks per core for the whole run.
-    with scoped_conf(spark, many_folder_listing(spark)):
-        return writer.start()
+    return writer.start()
 
 
 def run_feed_to_silver(spark: SparkSession, feed_root: str, silver_path: str, checkpoint: str,
                        **kw: object) -> None:
-    """Process every landed day not seen before, then return."""
+    """Process every landed day not seen before, drop days landed again empty, then return."""
     query = start_feed_to_silver(spark, feed_root, silver_path, checkpoint, **kw)  # type: ignore[arg-type]
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()  # type: ignore[misc]
-
-
-def silver_days(spark: SparkSession, silver_path: str) -> DataFrame:
-    return spark.read.parquet(silver_path).select("product_id", F.col("date"))
+    drop_missing_days(spark, feed_root, silver_path)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from larder import contracts
@@ -70,27 +72,110 @@ def test_out_of_stock_feed_rerun_and_backfill(spark, out):
     assert fact.columns == ["product_id", "oos_date"] and fact.count() == expected.count()
 
 
-def test_plain_append_mode_duplicates_on_rerun(spark, out):
+def _events(spark, layout):
+    return sorted(map(tuple, daily.read_silver(spark, layout, "out_of_stock").collect()), key=str)
+
+
+def _fact(spark, layout):
+    return sorted(map(tuple, src.read_parquet(spark, f"{layout.gold}/fact_out_of_stock", contracts.GOLD["fact_out_of_stock"]).collect()), key=str)
+
+
+def _land(spark, layout, day, rows):
+    sinks.land_json_day(spark.createDataFrame(rows, "product_id int, date date"), layout.feed, day, layout=layout.feed_layout)
+
+
+def test_late_undated_and_emptied_days_keep_exactly_the_right_rows(spark, out):
+    for kind in ("day", "dated"):
+        base = _layout(f"{out}/{kind}")
+        layout = daily.ShopLayout(base.bronze, base.feed, base.silver, base.gold, feed_layout=kind)
+        d1, d2, d3 = (dt.date(2021, 3, k) for k in (1, 2, 3))
+        _land(spark, layout, d1, [(1, d1), (2, d1), (3, d1), (4, None)])
+        daily.run_out_of_stock(spark, layout, [d1])
+        _land(spark, layout, d2, [(5, d2), (9, d1), (3, d1), (6, None)])  # 9 is late, 3 comes again
+        daily.run_out_of_stock(spark, layout, [d2])
+        everything = [(1, d1), (2, d1), (3, d1), (9, d1), (4, None), (6, None), (5, d2)]
+        assert _events(spark, layout) == _fact(spark, layout) == sorted(everything, key=str)
+        daily.run_out_of_stock(spark, layout, [d1])  # a re-run loses nothing of the other day
+        assert _events(spark, layout) == _fact(spark, layout) == sorted(everything, key=str)
+        _land(spark, layout, d3, [(7, d3)])
+        daily.run_out_of_stock(spark, layout, [d2, d3])
+        _land(spark, layout, d2, [])  # landed again, empty
+        daily.run_out_of_stock(spark, layout, [d2])
+        left = [(1, d1), (2, d1), (3, d1), (4, None), (7, d3)]
+        assert _events(spark, layout) == _fact(spark, layout) == sorted(left, key=str)
+        _land(spark, layout, d1, [(1, d1)])
+        daily.run_out_of_stock(spark, layout, [d1])
+        assert _events(spark, layout) == _fact(spark, layout) == sorted([(1, d1), (7, d3)], key=str)
+
+
+def test_full_build_and_daily_refresh_share_one_layout(spark, out):
     layout = _layout(out)
-    feed = roles.bronze(spark, SF_SMOKE, "out_of_stock")
-    d = feed.agg(F.max("date")).first()[0]
-    sinks.land_json_day(feed.where(F.col("date") == d), layout.feed, d)
-    daily.out_of_stock_to_silver(spark, layout, [d], idempotent=False)
-    daily.out_of_stock_to_silver(spark, layout, [d], idempotent=False)
-    n = feed.where(F.col("date") == d).distinct().count()
-    assert daily.read_silver(spark, layout, "out_of_stock").count() == 2 * n
+    d1, d2 = dt.date(2021, 3, 1), dt.date(2021, 3, 2)
+    _land(spark, layout, d1, [(1, d1), (2, None)])
+    daily.out_of_stock_to_silver(spark, layout, [d1])
+    daily.build_gold(spark, layout, tables=["fact_out_of_stock"])
+    _land(spark, layout, d2, [(3, d2)])
+    daily.run_out_of_stock(spark, layout, [d2])
+    assert _fact(spark, layout) == sorted([(1, d1), (2, None), (3, d2)], key=str)
+    spark.createDataFrame([(1, d1)], "product_id int, oos_date date").write.mode("append").parquet(f"{layout.gold}/fact_out_of_stock")
+    with pytest.raises(ValueError, match="laid out"):
+        daily.run_out_of_stock(spark, layout, [d2])
+
+
+def test_warehouse_run_sends_the_calendar_to_the_writer(spark, out):
+    layout = _layout(out)
+    _land_snapshots(spark, layout)
+    _land(spark, layout, RUN, [(1, RUN)])
+    written, appended = {}, {}
+    write = lambda df, table: written.update({table: df.count()})
+    append = lambda df, table: appended.update({table: df.collect()})
+    with pytest.raises(ValueError, match="append"):
+        daily.run_day(spark, layout, RUN, write)
+    empty = spark.createDataFrame([], contracts.gold_schema("dim_date"))
+    daily.run_day(spark, layout, RUN, write, append=append, existing_calendar=empty)
+    assert set(written) == {"dim_stores", "dim_products", "dim_clients", "dim_area", "fact_orders", "fact_out_of_stock"}
+    assert [r["action_date"] for r in appended["dim_date"]] == [RUN]
+    daily.run_day(spark, layout, RUN, write, append=append, existing_calendar=cal.calendar_row(spark, RUN))
+    assert appended["dim_date"] == []
+    assert not os.path.exists(layout.gold)
+
+
+def test_unreadable_calendar_is_an_error(spark, out):
+    layout = _layout(out)
+    os.makedirs(f"{layout.gold}/dim_date")
+    with open(f"{layout.gold}/dim_date/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        daily.append_calendar(spark, layout, RUN)
+
+
+def test_line_breaks_in_values_survive(spark, out):
+    layout = _layout(out)
+    sinks.write_csv_snapshot(spark.createDataFrame([(1, "a\nb", 2), (2, None, None)], contracts.to_struct(contracts.BRONZE["clients"])), layout.bronze, RUN, "clients")
+    daily.bronze_to_silver(spark, "clients", src.snapshot_path(layout.bronze, RUN, "clients"), layout.silver_table("clients"))
+    assert sorted(map(tuple, daily.read_silver(spark, layout, "clients").collect())) == [(1, "a\nb", 2), (2, None, None)]
+
+
+def test_snapshot_files_of_the_other_layout(spark, out):
+    layout = daily.ShopLayout(f"{out}/b", f"{out}/f", f"{out}/s", f"{out}/g", snapshot_layout="file")
+    for table in contracts.SILVER_TRANSFORM:
+        if table != "out_of_stock":
+            sinks.write_csv(roles.bronze(spark, SF_SMOKE, table), src.snapshot_path(layout.bronze, RUN, table, "file"))
+    daily.run_shop_snapshot(spark, layout, RUN, rejects=True)
+    assert daily.read_silver(spark, layout, "orders").count() == roles.bronze(spark, SF_SMOKE, "orders").distinct().count()
+    assert os.path.isdir(sinks.rejects_path(layout.silver_table("orders"), RUN))
 
 
 def test_rejects_written_next_to_silver(spark, out):
     layout = _layout(out)
     sinks.write_csv_snapshot(roles.bronze(spark, SF_SMOKE, "departments"), layout.bronze, RUN, "departments")
-    bronze_path = sinks.snapshot_path(layout.bronze, RUN, "departments")
+    bronze_path = src.snapshot_path(layout.bronze, RUN, "departments")
     daily.bronze_to_silver(spark, "departments", bronze_path, layout.silver_table("departments"),
                               rejects_date=RUN)
     raw = src.read_csv_inferred(spark, bronze_path)
     silver = daily.read_silver(spark, layout, "departments")
-    rejects = src.read_csv(spark, sinks.rejects_path(layout.silver_table("departments"), RUN),
-                           contracts.BRONZE["departments"])
+    schema = {**contracts.BRONZE["departments"], "raw_line": {"type": contracts.STR}, "reason": {"type": contracts.STR}}
+    rejects = src.read_csv(spark, sinks.rejects_path(layout.silver_table("departments"), RUN), schema)
     assert raw.count() == silver.count() + rejects.count()
     assert rejects.where("department is null").count() == raw.where("department is null").count()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from larder import contracts
-from larder.plans import catalog, marts
+from larder.plans import catalog, marts, roles
 from larder.sinks import files as sinks
 from larder.sources import files as src
 from tests.conftest import SF_SMOKE
@@ -15,9 +15,37 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_lookup_joins_are_broadcast(spark):
-    p = plan(catalog.QUERIES["dim_products"](spark, SF_SMOKE))
-    assert "BroadcastHashJoin" in p and "LeftOuter" in p and "SortMergeJoin" not in p
+def final_plan(df) -> str:
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def jobs(spark) -> int:
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_small_lookups_are_broadcast_at_run_time_without_jobs_at_build_time(spark):
+    parquet = [roles.bronze(spark, SF_SMOKE, t) for t in ("products", "aisles", "departments")]
+    before = jobs(spark)
+    df = marts.dim_products(*parquet)
+    stores = marts.dim_stores(roles.bronze(spark, SF_SMOKE, "stores"), roles.bronze(spark, SF_SMOKE, "store_types"))
+    listing = 4  # the four tables of dim_stores: a schema read of each
+    assert jobs(spark) - before <= listing
+    for p in (final_plan(df), final_plan(stores)):
+        assert "BroadcastHashJoin" in p and "LeftOuter" in p and "SortMergeJoin" not in p
+
+
+def scans(df) -> int:
+    return plan(df).count("FileScan")
+
+
+def test_fixture_copies_and_contract_report_read_each_table_once(spark):
+    assert scans(catalog.QUERIES["fact_orders"](spark, SF_SMOKE)) == 2
+    assert scans(catalog.QUERIES["check_gold_contracts"](spark, SF_SMOKE)) <= 24
+
+
+def test_reasoned_rejects_scan_the_extract_once(spark):
+    assert scans(catalog.QUERIES["rejects_reasoned"](spark, SF_SMOKE)) == 1
 
 
 def test_filters_and_columns_reach_the_scan(spark):

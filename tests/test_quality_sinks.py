@@ -19,7 +19,7 @@ def bag(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_contract_forms():
+def test_contract_forms(spark):
     mapping = contracts.to_struct(contracts.BRONZE["aisles"])
     assert mapping == T.StructType([T.StructField("aisle_id", T.IntegerType(), False),
                                     T.StructField("aisle", T.StringType(), True)])
@@ -79,7 +79,9 @@ def test_static_overwrite_replaces_whole_table(spark, out):
 
 def test_reject_and_snapshot_paths():
     assert sinks.rejects_path("/s/products", dt.date(2021, 8, 22)) == "/s/products_errors/2021-08-22/rejected.csv"
-    assert sinks.snapshot_path("/b/data", "2021-08-22", "orders") == "/b/data/2021-08-22/orders"
+    assert src.snapshot_path("/b/data", "2021-08-22", "orders") == "/b/data/2021-08-22/orders"
+    assert src.snapshot_path("/b/data/", "2021-08-22", "orders", "file") == "/b/data/2021-08-22/orders.csv"
+    assert src.day_dir("/f", "2021-08-22", "dated") == "/f/2021-08-22/data.json"
 
 
 def test_jdbc_write_options_keep_keys_and_batch():
@@ -91,3 +93,35 @@ def test_jdbc_write_options_keep_keys_and_batch():
     append = jdbc.warehouse_write_options("jdbc:x", "dim_date", mode="append")
     assert "truncate" not in append and "batchsize" not in append
     assert jdbc_options("jdbc:x", None, fetchsize=10, skipped=None) == {"url": "jdbc:x", "fetchsize": "10"}
+
+
+def test_jdbc_reads_are_split_or_single_on_request():
+    import datetime as dt
+
+    from larder.sources.jdbc import snapshot_options
+
+    with pytest.raises(ValueError, match="single_connection"):
+        snapshot_options("jdbc:x", "t")
+    with pytest.raises(ValueError):
+        snapshot_options("jdbc:x", "t", partition_column="id", single_connection=True)
+    assert "numPartitions" not in snapshot_options("jdbc:x", "t", single_connection=True)
+    opts = snapshot_options("jdbc:x", "t", partition_column="d", bounds=(dt.date(2021, 1, 1), dt.date(2021, 2, 1)), num_partitions=4)
+    assert (opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == ("2021-01-01", "2021-02-01", "4")
+    assert "partitionColumn" not in snapshot_options("jdbc:x", "t", partition_column="id", bounds=(None, None))  # an empty table
+
+
+def test_jdbc_writes_have_a_connection_limit():
+    opts = jdbc.warehouse_write_options("jdbc:x", "t", mode="append")
+    assert opts["numPartitions"] == str(jdbc.WRITE_CONNECTIONS)
+
+
+def test_given_bounds_stay_and_missing_ones_are_asked(spark, monkeypatch):
+    from larder.sources import jdbc as source
+
+    asked = []
+    monkeypatch.setattr(source, "read_table_bounds", lambda *a: asked.append(a) or (1, 90))
+    seen = {}
+    monkeypatch.setattr(source, "snapshot_options", lambda *a, **kw: seen.update(kw) or {"url": "jdbc:none"})
+    with pytest.raises(Exception):  # no database is opened: the options lack a table
+        source.read_jdbc_snapshot(spark, "jdbc:none", "t", partition_column="id", lower_bound=0)
+    assert seen["bounds"] == (0, 90) and len(asked) == 1

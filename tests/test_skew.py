@@ -7,11 +7,11 @@ thousand rows count as skewed (on a cluster the defaults apply to real partition
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
 from larder.operators import joins, relational as rel, setops
-from larder.sessionconf import scoped_conf
 from larder.sinks import files as sinks
 
 SKEW = {
@@ -23,6 +23,19 @@ SKEW = {
 }
 
 
+@contextmanager
+def settings(spark, values):
+    """The test session's own settings, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _hot_table(spark, n=30_000):
     # A third of the rows share key 0; the rest spread over 1,000 keys.
     return spark.range(n).select(
@@ -34,8 +47,8 @@ def _hot_table(spark, n=30_000):
 def test_lookup_join_fallback_splits_the_hot_key(spark):
     facts = _hot_table(spark)
     lookup = spark.range(1001).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("n"), F.col("id")).alias("name"))
-    with scoped_conf(spark, SKEW):
-        out = joins.left_lookup(facts, lookup, {"k": "k"}, {"name": "name"}, broadcast=False)
+    with settings(spark, SKEW):
+        out = joins.left_lookup(facts, lookup, {"k": "k"}, {"name": "name"})
         rows = out.collect()
         final = out._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == 30_000
@@ -58,7 +71,7 @@ def test_bag_difference_of_a_hot_row(spark):
 
 def test_rebalanced_partitioned_write_splits_the_hot_folder(spark, out):
     df = _hot_table(spark)
-    with scoped_conf(spark, SKEW):
+    with settings(spark, SKEW):
         sinks.write_parquet(df, out, partition_by="k")
     hot_files = [f for f in os.listdir(f"{out}/k=0") if f.endswith(".parquet")]
     assert len(hot_files) > 1
@@ -68,10 +81,17 @@ def test_rebalanced_partitioned_write_splits_the_hot_folder(spark, out):
 def test_lookup_join_with_a_third_null_keys(spark):
     facts = _hot_table(spark).select(F.when(F.col("k") == 0, F.lit(None)).otherwise(F.col("k")).alias("k"), "v")
     lookup = spark.range(1, 1001).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("name"))
-    with scoped_conf(spark, SKEW):
-        out = joins.left_lookup(facts, lookup, {"k": "k"}, {"name": "name"}, broadcast=False)
+    with settings(spark, SKEW):
+        out = joins.left_lookup(facts, lookup, {"k": "k"}, {"name": "name"})
         rows = out.collect()
         final = out._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == 30_000
     assert sum(1 for r in rows if r.k is None and r.name is None) == 10_000
     assert "skew=true" in final
+
+
+def test_counted_clustering_splits_the_hot_key(spark):
+    from larder.operators.partitioning import cluster_by
+
+    sizes = cluster_by(_hot_table(spark), "k", num_partitions=16).rdd.glom().map(len).collect()
+    assert sum(sizes) == 30_000 and max(sizes) < 10_000 / 2

@@ -1,10 +1,11 @@
-"""Shared-folder resolution and lineage cutting."""
+"""Shared-folder resolution, scratch folders and the small-files session."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import pytest
 
 from larder import storage
+from larder.sessionconf import MIN_PARTITION_CONF, small_files_session
 
 
 def test_shared_root_and_scratch_paths(spark):
@@ -17,8 +18,26 @@ def test_shared_root_and_scratch_paths(spark):
     assert a != b and a.startswith(f"{root}/larder/x/")
 
 
-def test_cut_lineage_keeps_rows_and_drops_the_plan(spark):
-    df = spark.range(100).select((F.col("id") % 7).alias("k")).groupBy("k").count()
-    cut = storage.cut_lineage(df)
-    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
-    assert "Aggregate" not in cut._jdf.queryExecution().optimizedPlan().toString()
+def test_no_private_folder_off_local_mode(spark, monkeypatch):
+    monkeypatch.setattr(storage, "CHECKPOINT_CONF", "spark.larder.no.such.setting")
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        monkeypatch.setattr(spark.sparkContext, "master", master)
+        with pytest.raises(RuntimeError, match="share"):
+            storage.shared_root(spark)
+
+
+def test_scratch_is_removed_when_done(spark):
+    path = storage.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert storage.exists(spark, path) and storage.holds_bytes(spark, path)
+    assert storage.clear_scratch(spark) >= 1
+    assert not storage.exists(spark, path) and not storage.holds_bytes(spark, path) and storage.children(spark, path) == []
+
+
+def test_small_files_session_leaves_the_shared_session_alone(spark):
+    before = spark.conf.get(MIN_PARTITION_CONF)
+    own = small_files_session(spark)
+    assert own.conf.get(MIN_PARTITION_CONF) == "1k" and spark.conf.get(MIN_PARTITION_CONF) == before
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert small_files_session(own) is own
