@@ -83,6 +83,13 @@ SILVER_TRANSFORM = {
     "orders": "transform_common",
     "out_of_stock": "transform_common",
 }
+# Columns a named transform requires: rows without them are dropped before de-duplication.
+TRANSFORM_REQUIRES: dict[str, tuple[str, ...]] = {
+    "transform_common": (),
+    "transform_aisles": ("aisle",),
+    "transform_departments": ("department",),
+    "transform_types": ("type",),
+}
 SILVER_PARTITION: dict[str, str | tuple[str, ...]] = {"orders": "store_id", "out_of_stock": ("day", "date")}
 
 # Tables whose CSV extracts hold quoted line breaks (such files cannot be split).

@@ -1,7 +1,8 @@
 """X1 — named DataFrame transforms plugged between the bronze read and the silver write.
 
 Each transform is ``fn(df) -> DataFrame``; tables name theirs in the contracts
-(``larder.contracts.SILVER_TRANSFORM``). New transforms register with ``@transform``.
+(``larder.contracts.SILVER_TRANSFORM``). The contracts' own transforms drop rows without
+the columns they require and de-duplicate; others register with ``@transform``.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from ..contracts import TRANSFORM_REQUIRES
 from .relational import dedup_rows, not_null
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -34,21 +36,9 @@ def apply_transform(df: DataFrame, name: str) -> DataFrame:
     return df.transform(get_transform(name))
 
 
-@transform("transform_common")
-def transform_common(df: DataFrame) -> DataFrame:
-    return dedup_rows(df)
+def _clean(required: tuple[str, ...]) -> Transform:
+    return lambda df: dedup_rows(not_null(df, *required))
 
 
-@transform("transform_aisles")
-def transform_aisles(df: DataFrame) -> DataFrame:
-    return dedup_rows(not_null(df, "aisle"))
-
-
-@transform("transform_departments")
-def transform_departments(df: DataFrame) -> DataFrame:
-    return dedup_rows(not_null(df, "department"))
-
-
-@transform("transform_types")
-def transform_types(df: DataFrame) -> DataFrame:
-    return dedup_rows(not_null(df, "type"))
+for _name, _required in TRANSFORM_REQUIRES.items():
+    transform(_name)(_clean(_required))

@@ -52,11 +52,9 @@ def silver(spark: SparkSession, d: str, table: str) -> DataFrame:
 
 
 # SQL of the silver transforms (drop-NULL where configured, then DISTINCT).
-_NOT_NULL = {"aisles": "aisle", "departments": "department", "store_types": "type"}
-
-
 def silver_sql(table: str) -> str:
-    where = f" WHERE {_NOT_NULL[table]} IS NOT NULL" if table in _NOT_NULL else ""
+    required = contracts.TRANSFORM_REQUIRES[contracts.SILVER_TRANSFORM[table]]
+    where = " WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in required) if required else ""
     return f"SELECT DISTINCT * FROM b_{table}{where}"
 
 

@@ -27,9 +27,6 @@ from . import feed, marts
 
 GoldWriter = Callable[[DataFrame, str], None]
 
-# Columns that a silver transform filters on.
-NOT_NULL = {"transform_aisles": ("aisle",), "transform_departments": ("department",), "transform_types": ("type",)}
-
 
 @dataclass(frozen=True)
 class ShopLayout:
@@ -72,7 +69,7 @@ def bronze_to_silver(
     clean = apply_transform(read(None), contracts.SILVER_TRANSFORM[table])
     sinks.write_parquet(clean, silver_path, mode="overwrite", partition_by=contracts.SILVER_PARTITION.get(table))
     if rejects_date is not None:
-        rejects = rejects_with_reason(read(src.CORRUPT_COLUMN), NOT_NULL.get(contracts.SILVER_TRANSFORM[table], ()),
+        rejects = rejects_with_reason(read(src.CORRUPT_COLUMN), contracts.TRANSFORM_REQUIRES.get(contracts.SILVER_TRANSFORM[table], ()),
                                       corrupt_column=src.CORRUPT_COLUMN)
         sinks.write_csv(rejects, sinks.rejects_path(silver_path, rejects_date))
 
