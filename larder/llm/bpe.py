@@ -26,16 +26,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, quoted, slices, table
-from .tokens_binary import Encoder
+from .pieces import PieceMemo
 
 #: Words that one recursive query contracts at a time.
 QUERY_WORDS = 10_000
+#: Texts whose new words are encoded together.
+ENCODE_ROWS = 2048
 #: Token rows that one query decodes at a time.
 QUERY_TOKENS = 300_000
 #: Words longer than this take one step of the query for nearly each byte; a heap merges them by the same rule.
 LONG_WORD = 1024
-#: Encoded pieces that one Python worker remembers.
-MEMO_ROWS = 300_000
 DUCKDB_MEMORY = "256MB"
 
 MERGE = """
@@ -79,7 +79,7 @@ class Coder:
         self._create("merges", pa.table({"pair": columns[:, 0], "merged": columns[:, 1]}))
         self._create("vocabulary", pa.table({"id": np.array(list(self.ranks.values()), dtype=np.int32),
                                              "bytes": pa.array([w.decode("latin-1") for w in self.ranks])}))
-        self.memo: dict[str, bytes] = {"": b""}
+        self.memo = PieceMemo(self.encode_pieces)
 
     def _create(self, name: str, rows: pa.Table) -> None:
         self.db.register("rows", rows)
@@ -143,20 +143,16 @@ class Coder:
                 out[k] = flat[a:b]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        cut = [Encoder.pieces(t) for t in texts]  # the pattern never matches across these cuts
-        memo = self.memo
-        if len(memo) > MEMO_ROWS:
-            memo.clear()
-            memo[""] = b""
-        new = list({p for c in cut for p in c if p not in memo})
-        split = [self.pattern.findall(p) for p in new]
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces: of the words the pattern finds in them."""
+        split = [self.pattern.findall(p) for p in pieces]
         words = list({w for s in split for w in s})
         ids = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
-        for p, s in zip(new, split, strict=True):
-            memo[p] = b"".join([ids[w] for w in s])
-        return [b"".join([memo[p] for p in c]) for c in cut]
+        return [b"".join([ids[w] for w in s]) for s in split]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers."""
+        return self.memo.encode(texts)
 
     def decode(self, rows: list[bytes]) -> list[bytes]:
         """The bytes of each row of ids; an id outside the vocabulary is an error."""
@@ -212,7 +208,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, pattern)
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", ENCODE_ROWS):
                 ids = own.encode([t or "" for t in part.column("__text").to_pylist()])
                 columns = [part.column(id_col), pa.array(ids, pa.binary())]
                 if decoded:

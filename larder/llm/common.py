@@ -61,14 +61,14 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut a batch into pieces of bounded rows and, by ``column``'s lengths, bounded bytes."""
     if not batch.num_rows:
         return
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     begin = held = 0
     for i, size in enumerate(lengths.tolist()):
-        if i > begin and (i - begin >= SLICE_ROWS or held + size > SLICE_BYTES):
+        if i > begin and (i - begin >= rows or held + size > SLICE_BYTES):
             yield batch.slice(begin, i - begin)
             begin, held = i, 0
         held += size
