@@ -11,6 +11,8 @@ files are ranges of ids; the dictionary is a file beside them, named by its hash
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -18,13 +20,15 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..storage import scratch_path
-from .common import map_arrow, materialise, quoted, table
+from .common import map_arrow, quoted, slices, table
+from .pieces import PieceMemo
 
 END_ID = 0
 LEVEL = 3
@@ -32,49 +36,43 @@ LEVEL = 3
 SAMPLE_ROWS, SAMPLE_BYTES, DICT_BYTES = 1024, 8 << 20, 64 << 10
 #: Token bytes (before compression) of one output block and of one output file.
 BLOCK_BYTES, FILE_BYTES = 4 << 20, 64 << 20
-#: Encoded word pieces that one Python worker remembers.
-MEMO_ROWS = 300_000
 _ENCODERS: dict[str, Encoder] = {}
+_PATTERN = regex.compile(public_tokenizers.PATTERN)
+#: Byte-level vocabularies write printable Latin-1 bytes as themselves, the others as the letters from 256 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
 class Encoder:
-    """Whole-text encoding by the tokenizers library, a piece at a time.
+    """The tokenizers library's BPE model for whole texts, each different piece encoded once.
 
-    The library splits a text before any single blank that follows a character other than
-    white space, whatever stands around it, so pieces cut there are encoded independently
-    and each different piece once. The first piece has no blank before it.
+    The file's pre-tokenizer (byte level, with the vocabularies' pattern) is the split by that
+    pattern and a letter for each byte; its model gets each different match once.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.memo: dict[str, bytes] = {}
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        parts = text.split(" ")
-        out = [parts[0]]
-        for p in parts[1:]:
-            last = out[-1]
-            if not last or last[-1].isspace():
-                out[-1] = last + " " + p  # inside or after white space there is no safe cut
-            else:
-                out.append(" " + p)
-        return out
+        spec = json.loads(self.tokenizer.to_str())
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.byte_level = plain.items() <= (spec["pre_tokenizer"] or {}).items() and spec["normalizer"] is None and spec["model"]["type"] == "BPE"
+        self.memo = PieceMemo(self.encode_pieces)
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        if not self.byte_level:
+            found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+            return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        split = [_PATTERN.findall(p) for p in pieces]
+        tokenize, ids = self.tokenizer.model.tokenize, {}
+        for w in {w for s in split for w in s}:
+            found = tokenize(w.encode().decode("latin-1").translate(_LETTERS))
+            ids[w] = b"".join([t.id.to_bytes(4, "little") for t in found])
+        return [b"".join([ids[w] for w in s]) for s in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        cut = [self.pieces(t) for t in texts]
-        if len(self.memo) > MEMO_ROWS:
-            self.memo.clear()
-        memo = self.memo
-        new = list({p for c in cut for p in c if p not in memo and p})
-        memo[""] = b""
-        for k in range(0, len(new), 4096):
-            some = new[k: k + 4096]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                memo[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([memo[p] for p in c]) for c in cut]
+        return self.memo.encode(texts)
 
 
 def encoder(path: str) -> Encoder:
@@ -84,26 +82,23 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def add_token_bytes(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
-    """(id, text) -> (id, ids binary), the end id appended; a null text has no other id."""
-    tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        from .common import slices
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [b + tail for b in enc.encode(["" if t is None else t for t in part.column("text").to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary())], names=["id", "ids"])
-
-    return map_arrow(docs, work, f"id {dict(docs.dtypes)['id']}, ids binary")
+def encode_ids(texts: pa.Array, path: str, end_id: int) -> list[bytes]:
+    """Each text's ids and the end id as bytes; a null text has no other id."""
+    tail = np.array([end_id], dtype="<u4").tobytes()
+    return [b + tail for b in encoder(path).encode([t or "" for t in texts.to_pylist()])]
 
 
 def train_dictionary(docs: DataFrame, path: str) -> bytes:
     """A dictionary from a sample of bounded rows and bytes; empty if the sample is too small."""
     sample = (docs.where(F.octet_length("text") <= SAMPLE_BYTES // SAMPLE_ROWS * 2).select("id").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS))
-    rows = add_token_bytes(docs.join(F.broadcast(sample.distinct()), "id"), path).where(F.octet_length("ids") <= SAMPLE_BYTES // SAMPLE_ROWS * 4)
-    samples = [bytes(r["ids"]) for r in rows.orderBy(F.xxhash64("ids")).limit(SAMPLE_ROWS).collect()]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(encode_ids(part.column("text"), path, END_ID), pa.binary())], names=["ids"])
+
+    rows = map_arrow(docs.join(F.broadcast(sample.distinct()), "id").select("text"), work, "ids binary")
+    samples = [bytes(r["ids"]) for r in rows.where(F.octet_length("ids") <= SAMPLE_BYTES // SAMPLE_ROWS * 4).orderBy(F.xxhash64("ids")).limit(SAMPLE_ROWS).collect()]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples, level=LEVEL).as_bytes() if len(samples) > 8 else b""
     except zstandard.ZstdError:  # too few or too uniform samples
@@ -134,12 +129,13 @@ def write_tokens(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", t
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shared.value))
         for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array(map(packer.compress, ids), pa.binary())],
-                names=["id", "n", "frame"])
+            for part in slices(batch, "text"):
+                ids = encode_ids(part.column("text"), path, end_id)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array(map(packer.compress, ids), pa.binary())],
+                    names=["id", "n", "frame"])
 
-    packed = map_arrow(add_token_bytes(base, path, end_id), squeeze, "id long, n long, frame binary")
+    packed = map_arrow(base, squeeze, "id long, n long, frame binary")
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(1, -(-4 * total // (2 * FILE_BYTES)))  # a token has about two bytes of text
     cuts = base.stat.approxQuantile("id", [k / files for k in range(1, files)], 0.1 / files) if files > 1 else []
