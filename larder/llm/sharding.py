@@ -51,10 +51,12 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str =
     scattered = docs.select("*", key_shard(key, shards, seed).alias(shard),
                             F.pmod(F.xxhash64(F.lit(seed + 1), key, salt), F.lit(buckets)).cast("int").alias(bucket))
     whole = F.struct(*[quoted(c) for c in docs.columns])
-    grouped = (scattered.repartition(shards * buckets, shard, bucket).sortWithinPartitions(shard, bucket, key, F.xxhash64(text))
-               .groupBy(shard, bucket).agg(F.collect_list(whole).alias("rows"))
-               .sortWithinPartitions(shard, bucket)
-               .select(shard, bucket, F.shuffle("rows", seed).alias("rows")))
+    number = fresh(scattered.columns, "__number")
+    # Exactly one bucket for each task; the order before the shuffle does not depend on the run.
+    grouped = (scattered.withColumn(number, F.col(shard) * buckets + F.col(bucket)).repartitionById(shards * buckets, number)
+               .sortWithinPartitions(key, F.xxhash64(text))
+               .groupBy(number).agg(F.collect_list(whole).alias("rows"))
+               .select(F.floor(F.col(number) / buckets).cast("int").alias(shard), (F.col(number) % buckets).alias(bucket), F.shuffle("rows", seed).alias("rows")))
     out = (grouped.select(shard, bucket, F.posexplode("rows").alias(place, "row"))
            .select(*[F.col("row").getField(c).alias(c) for c in docs.columns], bucket, place, shard))
     out.sortWithinPartitions(shard, bucket, place).write.partitionBy(shard).parquet(path)
