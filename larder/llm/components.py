@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from ..storage import remove, scratch_path
 
 MAX_ROUNDS = 100
 
@@ -43,11 +43,21 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Nodes without an edge to another node do not appear; self loops and repeated edges
     are harmless, null ends are ignored, no edges give no rows.
     """
-    now = materialise(edges.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst")
-                      .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct(), name)
+    spark, path = edges.sparkSession, None
+
+    def write(df: DataFrame) -> DataFrame:
+        nonlocal path
+        old, path = path, scratch_path(spark, name)
+        df.write.parquet(path)
+        if old:
+            remove(spark, old)  # the round before is not needed any more
+        return spark.read.schema(df.schema).parquet(path)
+
+    now = write(edges.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst")
+                      .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
     before = _digest(now)
     for _ in range(MAX_ROUNDS if before[0] else 0):
-        now = materialise(_small(_large(now)), name)
+        now = write(_small(_large(now)))
         after = _digest(now)
         if after == before:
             break
