@@ -43,7 +43,7 @@ MIN_WORDS = 13
 #: Words of an anchor in the first round.
 GRAM = 4
 #: Bytes of all text for one shard of references.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Rows that share an anchor, for each copy of its references.
 HOT_ROWS = 20_000
 
@@ -183,10 +183,12 @@ def _round(rows: DataFrame, gram: int, window: int, shards: int, name: str) -> D
                     ords = part.column("ord").to_numpy()
                     yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(ords[owner[keep]])], names=["h", "ord"])
 
-    # One exchange by anchor serves both the first rows and the join with them.
-    marked = map_arrow(rows.select("ord", "words"), mark, "h long, ord long").repartition("h")
-    shared = (marked.groupBy("h").agg(F.min("ord").alias("first"), F.max("ord").alias("last"), F.count("*").alias("n"))
-              .where("first < last").select("h", "first", F.ceil(F.log2(F.ceil(F.col("n") / HOT_ROWS))).cast("int").alias("heat")))
+    # Anchors are counted with a partial aggregate and stored, so the join back has two plain
+    # sides: adaptive execution splits an anchor that very many rows share.
+    marked = map_arrow(rows.select("ord", "words"), mark, "h long, ord long")
+    shared = (marked.groupBy("h").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1")
+              .select("h", "first", F.ceil(F.log2(F.ceil(F.col("n") / HOT_ROWS))).cast("int").alias("heat")))
+    shared = materialise(shared, f"{name}-shared")
     hits = marked.join(shared, "h").groupBy("ord").agg(F.collect_list(F.struct("h", "first", "heat")).alias("hits"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
