@@ -37,6 +37,8 @@ QUERY_TOKENS = 300_000
 #: Words longer than this take one step of the query for nearly each byte; a heap merges them by the same rule.
 LONG_WORD = 1024
 DUCKDB_MEMORY = "256MB"
+#: Encoded pieces that one Python worker remembers, beside the database.
+MEMO_ROWS = 500_000
 
 MERGE = """
 WITH RECURSIVE t(step, word, pos, next, id) AS (
@@ -74,19 +76,26 @@ class Coder:
         pairs = [(self.ranks[w[:k]] << 20 | self.ranks[w[k:]], r) for w, r in self.ranks.items() for k in range(1, len(w))
                  if w[:k] in self.ranks and w[k:] in self.ranks]
         self.merges = dict(pairs)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "preserve_insertion_order": False})
         columns = np.array(pairs, dtype=np.int64).reshape(-1, 2)
-        self._create("merges", pa.table({"pair": columns[:, 0], "merged": columns[:, 1]}))
-        self._create("vocabulary", pa.table({"id": np.array(list(self.ranks.values()), dtype=np.int32),
-                                             "bytes": pa.array([w.decode("latin-1") for w in self.ranks])}))
-        self.memo = PieceMemo(self.encode_pieces)
-
-    def _create(self, name: str, rows: pa.Table) -> None:
-        self.db.register("rows", rows)
-        self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM rows")
-        self.db.unregister("rows")
+        self.tables = {"merges": pa.table({"pair": columns[:, 0], "merged": columns[:, 1]}),
+                       "vocabulary": pa.table({"id": np.array(list(self.ranks.values()), dtype=np.int32),
+                                               "bytes": pa.array([w.decode("latin-1") for w in self.ranks])})}
+        self.db: duckdb.DuckDBPyConnection | None = None
+        self.memo = PieceMemo(self.encode_pieces, MEMO_ROWS)
+
+    def close(self) -> None:
+        """Give the database's memory back; the next query opens a new one."""
+        if self.db is not None:
+            self.db.close()
+            self.db = None
 
     def _query(self, sql: str, name: str, rows: pa.Table) -> pa.Table:
+        if self.db is None:
+            self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "preserve_insertion_order": False})
+            for table_name, content in self.tables.items():
+                self.db.register("rows", content)
+                self.db.execute(f"CREATE TABLE {table_name} AS SELECT * FROM rows")
+                self.db.unregister("rows")
         self.db.register(name, rows)
         try:
             return self.db.sql(sql).to_arrow_table()
@@ -214,6 +223,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
                 if decoded:
                     columns.append(pa.array(own.decode(ids), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=[id_col, "ids", "decoded"][: len(columns)])
+        own.close()
 
     return map_arrow(base, work, f"`{id_col}` {dict(docs.dtypes)[id_col]}, ids binary" + ", decoded binary" * decoded)
 
@@ -227,6 +237,7 @@ def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTE
             for part in slices(batch, "__ids"):
                 texts = own.decode([b or b"" for b in part.column("__ids").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(id_col), pa.array(texts, pa.binary())], names=[id_col, "decoded"])
+        own.close()
 
     return map_arrow(encoded.select(quoted(id_col).alias(id_col), quoted(ids_col).alias("__ids")), work, f"`{id_col}` {dict(encoded.dtypes)[id_col]}, decoded binary")
 

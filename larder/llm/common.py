@@ -46,7 +46,12 @@ def ship(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` on executors that have this package."""
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()  # the worker lives on with the next task
+
+    return df.mapInArrow(tidy, schema)
 
 
 def fresh(columns: Iterable[str], base: str) -> str:

@@ -29,6 +29,8 @@ MAX_TRAINING_ROWS = 8192
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-3
 ACCEPT = 0.7
+#: Hashed words that one task remembers.
+MEMO_WORDS = 60_000
 HELD_OUT = 2
 
 _ALNUM = bytes(b for b in range(256) if b >= 0x80 or chr(b).isalnum())
@@ -55,7 +57,7 @@ def ngram_ids(text: bytes, memo: dict[bytes, tuple[int, int]], bits: int = BITS)
     words = text.split()
     if not words:
         return np.zeros(0, dtype=np.int64)
-    if len(memo) > 200_000:
+    if len(memo) > MEMO_WORDS:
         memo.clear()
     pairs = []
     for w in words:
