@@ -41,6 +41,7 @@ _PATTERN = regex.compile(public_tokenizers.PATTERN)
 #: Byte-level vocabularies write printable Latin-1 bytes as themselves, the others as the letters from 256 on.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_BLANK = _LETTERS[0x20]
 
 
 class Encoder:
@@ -56,6 +57,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         spec = json.loads(self.tokenizer.to_str())
         plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.packed = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
         self.byte_level = plain.items() <= (spec["pre_tokenizer"] or {}).items() and spec["normalizer"] is None and spec["model"]["type"] == "BPE"
         self.memo = PieceMemo(self.encode_pieces)
 
@@ -64,10 +66,10 @@ class Encoder:
             found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
             return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
         split = [_PATTERN.findall(p) for p in pieces]
-        tokenize, ids = self.tokenizer.model.tokenize, {}
+        tokenize, packed, ids = self.tokenizer.model.tokenize, self.packed, {}
         for w in {w for s in split for w in s}:
-            found = tokenize(w.encode().decode("latin-1").translate(_LETTERS))
-            ids[w] = b"".join([t.id.to_bytes(4, "little") for t in found])
+            letters = w.replace(" ", _BLANK) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_LETTERS)
+            ids[w] = b"".join([packed[t.id] for t in tokenize(letters)])
         return [b"".join([ids[w] for w in s]) for s in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
