@@ -1,0 +1,130 @@
+"""Cross-tokenizer alignment against the libraries and plain loops."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from larder.llm import alignment
+from tests.llm import helpers
+from tests.llm.test_token_operators import ODD
+
+A, B = public_tokenizers.path(alignment.VOCABULARY_A), public_tokenizers.path(alignment.VOCABULARY_B)
+FIELDS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def letters() -> dict[str, int]:
+    """The byte of each letter of a byte-level vocabulary."""
+    printed = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    other = [b for b in range(256) if b not in printed]
+    return {chr(b): b for b in printed} | {chr(256 + k): b for k, b in enumerate(other)}
+
+
+def plain_groups(text: str | None, libraries) -> list[tuple[list[int], list[int]]]:
+    """Groups of A and B ids, from the libraries' tokens of the whole text."""
+    if not text:
+        return []
+    a, b, back = *libraries, letters()
+    whole = (" " + text).encode()
+    ids_a = a.encode(" " + text, add_special_tokens=False).ids
+    bytes_a = [bytes(back[c] for c in a.id_to_token(i)) for i in ids_a]
+    ids_b = b.encode(text)
+    bytes_b = [bytes([int(m[1], 16)]) if (m := re.fullmatch("<0x([0-9A-F]{2})>", b.id_to_piece(i))) else b.id_to_piece(i).replace("▁", " ").encode() for i in ids_b]
+    if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+        return []
+    ends = [np.cumsum([len(x) for x in s]).tolist() for s in (bytes_a, bytes_b)]
+    common = set(ends[0]) & set(ends[1])
+    sides = []
+    for ids, end in zip((ids_a, ids_b), ends, strict=True):
+        parts, now = [], []
+        for i, e in zip(ids, end, strict=True):
+            now.append(i)
+            if e in common:
+                parts.append(now)
+                now = []
+        sides.append(parts)
+    return list(zip(*sides, strict=True))
+
+
+def plain_reports(texts: list, libraries) -> list[tuple]:
+    found = [plain_groups(t, libraries) for t in texts]
+    links = [Counter((x, y) for ga, gb in f for x in ga for y in gb) for f in found]
+    counts = Counter(p for held in links for p in held)
+    most: dict[int, int] = {}
+    for (x, _), n in counts.items():
+        most[x] = max(n, most.get(x, 0))
+    out = []
+    for f, held in zip(found, links, strict=True):
+        joined = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in f)
+        out.append((sum(len(g[0]) for g in f), sum(len(g[1]) for g in f), len(f), sum(held.values()),
+                    sum(n for p, n in held.items() if counts[p] == most[p[0]]), sum(n * counts[p] for p, n in held.items()),
+                    hashlib.sha256(joined.encode()).hexdigest() if f else ""))
+    return out
+
+
+def some_texts() -> list[str | None]:
+    rng = random.Random(3)
+    odd = ["".join(rng.choice("ab c.'é ß\n\t1漢\U0001f600 ▁x<s>") for _ in range(rng.randrange(0, 60))) for _ in range(150)]
+    return helpers.awkward_texts() + ODD + odd + ["<|endoftext|> <s> </s> <unk> <0x41>", "▁", "a ▁b", "\x00a", "x  y   z    w", "\r\n a\r\n", "é 가"]
+
+
+@pytest.mark.parametrize("chunk", [2000, 16 << 20])
+def test_report_equals_plain_loops(spark, monkeypatch, libraries, chunk):
+    monkeypatch.setattr(alignment, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(alignment, "STEP_PLACES", 300 if chunk == 2000 else 200_000)
+    texts = some_texts()
+    got = {r["doc_id"]: tuple(r[f] for f in FIELDS) for r in alignment.alignment_report(helpers.documents(spark, texts), A, B).collect()}
+    want = plain_reports(texts, libraries)
+    assert sum(w[0] > 0 for w in want) > 100 and any(w[0] == 0 for w, t in zip(want, texts, strict=True) if t)
+    for k, w in enumerate(want):
+        assert got[k] == w, repr(texts[k])[:80]
+
+
+def test_overlap_links_and_groups(spark, libraries):
+    texts = [t for t in some_texts() if t is None or len(t) < 3000]
+    for r in alignment.align(helpers.documents(spark, texts), A, B).collect():
+        want = plain_groups(texts[r["doc_id"]], libraries)
+        assert r["a"] == [i for g, _ in want for i in g] and r["b"] == [i for _, g in want for i in g]
+        assert [(g["n_a"], g["n_b"]) for g in r["groups"]] == [(len(x), len(y)) for x, y in want]
+        if want:
+            assert sum(k["bytes"] for k in r["links"]) == len((" " + texts[r["doc_id"]]).encode())
+
+
+def test_products_equal_dense_ones():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        n, m, k = rng.integers(1, 9, 3)
+        x, y = rng.integers(0, 3, (n, m)), rng.integers(0, 3, (m, k))
+        a, b = (alignment.from_entries(*np.nonzero(z), z[np.nonzero(z)], *z.shape) for z in (x, y))
+        c = alignment.product(a, b)
+        dense = np.zeros((n, k), dtype=int)
+        dense[c.rows, c.indices] = c.data
+        assert (dense == x @ y).all()
+        t = a.transposed()
+        back = np.zeros((m, n), dtype=int)
+        back[t.rows, t.indices] = t.data
+        assert (back == x.T).all()
+
+
+def test_rows_of_one_id_nulls_and_empty_table(spark, libraries):
+    docs = spark.createDataFrame([(3, "one two", 1), (3, "one two", 1), (3, "three", 2), (None, "one", 3), (5, None, 4), (6, "", 5)], "doc_id long, text string, count int")
+    got = sorted((str(r["doc_id"]), *(r[f] for f in FIELDS)) for r in alignment.alignment_report(docs, A, B).collect())
+    texts = ["one two", "one two", "three", "one", None, ""]
+    want = plain_reports(texts, libraries)
+    assert got == sorted((str(i), *w) for i, w in zip([3, 3, 3, None, 5, 6], want, strict=True))
+    assert alignment.alignment_report(helpers.documents(spark, []), A, B).collect() == []
