@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, hostrules, license_scan, quality, sharding, simhash, substring, tokens_binary, warc
+from . import alignment, bpe, decontaminate, hostrules, license_scan, nearest, periodic_runs, quality, sharding, simhash, substring, tokens_binary, warc
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_two_pass_sharding": sharding.op8_two_pass_sharding,
     "op9_host_quality_rules": hostrules.op9_host_quality_rules,
     "op10_substring_dedup": substring.op10_substring_dedup,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_nearest_neighbours": nearest.op12_nearest_neighbours,
+    "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
 }
 
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.OP1_SQL,
-    "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_warc_transactions": warc.OP4_SQL,
     "op9_host_quality_rules": hostrules.OP9_SQL,
 }

@@ -52,4 +52,5 @@ def test_run_equals_the_stages(spark):
 
 
 def test_every_operator_is_registered():
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
+    assert all(isinstance(sql, str) and name in queries.QUERIES for name, sql in queries.ORACLE.items())
