@@ -42,6 +42,8 @@ TILE_STEP = 4096
 LEAST = 8
 #: Words of tiles that one output batch holds at most, unless one tile is longer.
 BATCH_WORDS = 1 << 20
+#: Bytes of tiles that a task solves.
+TASK_BYTES = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -214,7 +216,9 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
 def _runs(parts: DataFrame) -> DataFrame:
     """Stored parts -> (row, runs array<struct<start, length, period>>) of the texts that have runs."""
     cut = parts.where("tile IS NOT NULL").select("row", "step", "low", "begin", "tile")
-    dealt = cut.repartition("row", "step", "begin")  # the tiles of one text go to many tasks
+    total = cut.agg(F.sum(F.octet_length("tile"))).first()[0] or 0
+    # A tile takes long for its bytes; the tiles of one text go to many tasks.
+    dealt = cut.repartition(max(1, -(-total // TASK_BYTES)), "row", "step", "begin")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
