@@ -12,9 +12,9 @@ for every byte that a token covers.
   for the groups, the number of tokens as values, times the same of B transposed, give for every
   pair of ids how many pairs of token occurrences share a group, without listing them.
 
-Both vocabularies never join a blank to a character before it other than white space, so texts are
-cut there, each different piece is aligned once, and texts add up their pieces (again a product,
-of texts by pieces and pieces by id pairs).
+Both vocabularies never join a blank or line end to a character before it other than white space,
+so texts are cut there, each different piece is aligned once, and texts add up their pieces (again
+a product, of texts by pieces and pieces by id pairs).
 
 A pair's count is the number of documents that hold it linked, over the whole corpus. Tasks put
 out *chunks*: the documents of some megabytes of text, with the chunk's different pairs and how
@@ -42,8 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import map_arrow, materialise, quoted, runs, slices, table
-from .pieces import cut
+from .common import map_arrow, materialise, quoted, runs, slices, table, without_gc
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Text bytes of a chunk, unless one text is longer.
@@ -53,9 +52,12 @@ MEMO_ROWS = 400_000
 #: Pieces that are aligned, and piece places that are added up, at a time.
 STEP_PIECES, STEP_PLACES = 20_000, 200_000
 _ALIGNERS: dict[tuple, Aligner] = {}
+#: A blank or line end after a character other than white space begins a piece.
+_PIECE = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Byte-level vocabularies write each byte as a letter: printable Latin-1 as itself, others from 256 on.
 _LETTERS = {b: chr(b) for b in _PRINTED} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_BLANK = _LETTERS[0x20]
 
 
 @dataclass
@@ -149,8 +151,8 @@ class Aligner:
         plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         self.byte_level = plain.items() <= (spec["pre_tokenizer"] or {}).items() and spec["normalizer"] is None and spec["model"]["type"] == "BPE"
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        #: Whether texts may be cut: no B token has a blank after another character.
-        self.cuts = self.byte_level and not any(re.search("[^▁]▁", n) for n in names)
+        #: Whether texts may be cut: no B token has a blank after another character, or a line end.
+        self.cuts = self.byte_level and not any(re.search("[^▁]▁|\n", n) for n in names)
         self.clear()
 
     def clear(self) -> None:
@@ -163,25 +165,23 @@ class Aligner:
 
     def pieces(self, text: str) -> list[str]:
         """A blank and the text, in pieces that both vocabularies encode by themselves."""
-        return cut(" " + text) if self.cuts else [" " + text]
+        return _PIECE.findall(" " + text) if self.cuts else [" " + text]
 
     def encode_a(self, some: list[str]) -> list[list[int]]:
         if not self.byte_level:
             return [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
-        tokenize, known, out = self.a.model.tokenize, {}, []
-        for s in some:
-            ids = []
-            for w in self.pattern.findall(s):
-                if w not in known:
-                    known[w] = [t.id for t in tokenize("".join(map(_LETTERS.__getitem__, w.encode())))]
-                ids += known[w]
-            out.append(ids)
-        return out
+        split = list(map(self.pattern.findall, some))
+        tokenize, known = self.a.model.tokenize, {}
+        for w in set().union(*split):
+            printed = w.isascii() and w.isprintable()
+            letters = w.replace(" ", _BLANK) if printed else w.encode().decode("latin-1").translate(_LETTERS)
+            known[w] = [t.id for t in tokenize(letters)]
+        return [known[words[0]] if len(words) == 1 else [i for w in words for i in known[w]] for words in split]
 
     def encode_b(self, some: list[str]) -> list[list[int]]:
-        """B puts the blank before a text itself, unless the text is empty."""
-        found = self.b.encode([s[1:] for s in some], num_threads=1)
-        return [ids if len(s) > 1 else [self.blank] for s, ids in zip(some, found, strict=True)]
+        """B puts the blank before a text itself, unless the text is empty; a line end has none."""
+        found = self.b.encode([s[1:] if s[0] == " " else s for s in some], num_threads=1)
+        return [ids[1:] if s[0] != " " else ids if len(s) > 1 else [self.blank] for s, ids in zip(some, found, strict=True)]
 
     def tokens(self, some: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """The A and B ids of each piece; None if the bytes of either are not the piece's."""
@@ -240,11 +240,12 @@ class Aligner:
             self.pairs.append(pairs[cuts[k]: cuts[k + 1]])
             self.links.append(links[cuts[k]: cuts[k + 1]])
 
+    @without_gc
     def places(self, texts: list[str | None]) -> list[list[int]]:
         """The remembered number of each piece of each text, after learning the new ones."""
         split = [self.pieces(t) if t else [] for t in texts]
         memo = self.memo
-        self.learn(list({s for p in split for s in p if s not in memo}))
+        self.learn(list(set().union(*split).difference(memo)))
         return [list(map(memo.__getitem__, p)) for p in split]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import gc
 import os
 import shutil
 import tempfile
@@ -54,6 +56,22 @@ def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(tidy, schema)
 
 
+def without_gc(work: Callable) -> Callable:
+    """``work`` without the search for cycles, which makes none but millions of small objects."""
+
+    @functools.wraps(work)
+    def run(*args, **kw):
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return work(*args, **kw)
+        finally:
+            if on:
+                gc.enable()
+
+    return run
+
+
 def fresh(columns: Iterable[str], base: str) -> str:
     """A column name starting with ``base`` that none of ``columns`` has in any case."""
     taken, name = {c.lower() for c in columns}, base
