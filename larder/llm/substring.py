@@ -2,7 +2,9 @@
 
 A word is removed if a window of ``min_words`` consecutive words that covers it also starts
 in a row that comes before. Rows come in the order of their id; rows without an id come
-last, in the order of a hash of their text; rows of one id do not repeat each other.
+last, in the order of a hash of their text, and equal texts among them have one place; rows of
+one place do not repeat each other. What is found belongs to a row by its place and a second
+hash of its text (``mark``), so rows of one id with different texts are kept apart.
 
 1. *Anchors.* Every window has the k-word gram with the smallest hash as its anchor, so
    equal windows have equal anchors. An anchor that stands in two rows or more has a first
@@ -165,7 +167,7 @@ _RESTS = pa.list_(pa.struct([("begin", pa.int32()), ("words", pa.binary())]))
 
 
 def _round(rows: DataFrame, gram: int, window: int, shards: int, name: str) -> DataFrame:
-    """(ord long, begin int, words binary) -> (ord, found spans of window starts, rest).
+    """(ord long, mark long, begin int, words binary) -> (ord, mark, found spans of window starts, rest).
 
     ``words`` are joined by blanks; ``begin`` is the place of the first in its text; ``rest``
     has the word runs whose windows share an anchor with an earlier row but did not match.
@@ -180,16 +182,16 @@ def _round(rows: DataFrame, gram: int, window: int, shards: int, name: str) -> D
                 if len(h):
                     order = np.lexsort((h, owner))
                     keep = order[runs(owner[order], h[order])]
-                    ords = part.column("ord").to_numpy()
-                    yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(ords[owner[keep]])], names=["h", "ord"])
+                    whose = pa.array(owner[keep])
+                    yield pa.RecordBatch.from_arrays([pa.array(h[keep]), part.column("ord").take(whose), part.column("mark").take(whose)], names=["h", "ord", "mark"])
 
     # Anchors are counted with a partial aggregate and stored, so the join back has two plain
     # sides: adaptive execution splits an anchor that very many rows share.
-    marked = map_arrow(rows.select("ord", "words"), mark, "h long, ord long")
+    marked = map_arrow(rows.select("ord", "mark", "words"), mark, "h long, ord long, mark long")
     shared = (marked.groupBy("h").agg(F.min("ord").alias("first"), F.count("*").alias("n")).where("n > 1")
               .select("h", "first", F.ceil(F.log2(F.ceil(F.col("n") / HOT_ROWS))).cast("int").alias("heat")))
     shared = materialise(shared, f"{name}-shared")
-    hits = marked.join(shared, "h").groupBy("ord").agg(F.collect_list(F.struct("h", "first", "heat")).alias("hits"))
+    hits = marked.join(shared, "h").groupBy("ord", "mark").agg(F.collect_list(F.struct("h", "first", "heat")).alias("hits"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,7 +199,8 @@ def _round(rows: DataFrame, gram: int, window: int, shards: int, name: str) -> D
                 texts = [t.split() for t in utf8(part.column("words"))]
                 owner, place, h = anchors(texts, gram, window)
                 bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
-                hits, ords, begins = part.column("hits"), part.column("ord").to_pylist(), part.column("begin").to_pylist()
+                hits = part.column("hits")
+                ords, marks, begins = (part.column(c).to_pylist() for c in ("ord", "mark", "begin"))
                 out: list[tuple] = []
                 for k, words in enumerate(texts):
                     lo, hi = bounds[k], bounds[k + 1]
@@ -224,14 +227,14 @@ def _round(rows: DataFrame, gram: int, window: int, shards: int, name: str) -> D
                         copies = 1 << int(heat[a])
                         salts = range(copies) if own[a] else (crc32(str(ords[k]).encode()) % copies,)
                         some = b" ".join(words[left:right])
-                        out += [(int(shard[a]), int(heat[a]), s, not own[a], ords[k], begins[k] + left, some) for s in salts]
+                        out += [(int(shard[a]), int(heat[a]), s, not own[a], ords[k], marks[k], begins[k] + left, some) for s in salts]
                 if out:
-                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
+                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
-    names = ["shard", "heat", "salt", "streams", "ord", "begin", "words"]
-    parts = map_arrow(rows.select("ord", "begin", "words").join(hits, "ord"), cut,
-                      "shard long, heat int, salt int, streams boolean, ord long, begin int, words binary")
+    names = ["shard", "heat", "salt", "streams", "ord", "mark", "begin", "words"]
+    parts = map_arrow(rows.select("ord", "mark", "begin", "words").join(hits, ["ord", "mark"]), cut,
+                      "shard long, heat int, salt int, streams boolean, ord long, mark long, begin int, words binary")
     dealt = parts.repartition("shard", "heat", "salt").sortWithinPartitions("shard", "heat", "salt", "streams", "ord", "begin")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +242,7 @@ def _round(rows: DataFrame, gram: int, window: int, shards: int, name: str) -> D
         for batch in batches:
             out: list[tuple] = []
             keys = zip(*(batch.column(c).to_pylist() for c in ("shard", "heat", "salt")), strict=True)
-            for at, streams, row, begin, text in zip(keys, *(batch.column(c).to_pylist() for c in names[3:]), strict=True):
+            for at, streams, row, its, begin, text in zip(keys, *(batch.column(c).to_pylist() for c in names[3:]), strict=True):
                 if at != key:
                     key, automaton = at, Automaton()
                 words = text.split()
@@ -250,12 +253,12 @@ def _round(rows: DataFrame, gram: int, window: int, shards: int, name: str) -> D
                 left = np.ones(max(0, len(words) - window + 1), dtype=bool)
                 left[found] = False
                 rest = [{"begin": begin + s["lo"], "words": b" ".join(words[s["lo"]: s["hi"] + window])} for s in _spans(np.flatnonzero(left))]
-                out.append((row, _spans(found + begin), rest))
+                out.append((row, its, _spans(found + begin), rest))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), _SPANS, _RESTS), strict=True)],
-                                                 names=["ord", "found", "rest"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), _SPANS, _RESTS), strict=True)],
+                                                 names=["ord", "mark", "found", "rest"])
 
-    found = map_arrow(dealt, match, "ord long, found array<struct<lo int, hi int>>, rest array<struct<begin int, words binary>>")
+    found = map_arrow(dealt, match, "ord long, mark long, found array<struct<lo int, hi int>>, rest array<struct<begin int, words binary>>")
     return materialise(found, name)
 
 
@@ -265,16 +268,21 @@ def row_order(key: Column, text: Column) -> Column:
     return F.coalesce(key.cast("bigint"), late)
 
 
+def text_mark(text: Column) -> Column:
+    """Tells the texts of one place in the order apart (another hash than that of the order)."""
+    return F.xxhash64(F.lit(1), text)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(ord, spans): for each row order with repeats, the runs of repeated window starts."""
-    rows = docs.select(row_order(quoted(id_col), quoted(text_col)).alias("ord"), F.lit(0).alias("begin"), quoted(text_col).cast("binary").alias("words"))
+    """(ord, mark, spans): for each row with repeats, the runs of repeated window starts."""
+    rows = docs.select(row_order(quoted(id_col), quoted(text_col)).alias("ord"), text_mark(quoted(text_col)).alias("mark"), F.lit(0).alias("begin"), quoted(text_col).cast("binary").alias("words"))
     total = docs.agg(F.sum(F.octet_length(quoted(text_col)))).first()[0] or 0
     shards = max(1, ceil(total / SHARD_BYTES))
     first = _round(rows, min(GRAM, min_words), min_words, shards, "substring-first")
-    rest = first.select("ord", F.explode("rest").alias("at")).select("ord", "at.begin", "at.words")
+    rest = first.select("ord", "mark", F.explode("rest").alias("at")).select("ord", "mark", "at.begin", "at.words")
     second = _round(rest, min_words, min_words, shards, "substring-second")
-    both = reduce(DataFrame.union, [x.where(F.size("found") > 0).select("ord", "found") for x in (first, second)])
-    return both.groupBy("ord").agg(F.flatten(F.collect_list("found")).alias("spans"))
+    both = reduce(DataFrame.union, [x.where(F.size("found") > 0).select("ord", "mark", "found") for x in (first, second)])
+    return both.groupBy("ord", "mark").agg(F.flatten(F.collect_list("found")).alias("spans"))
 
 
 def _kept(words: list[bytes], spans: list[dict] | None, window: int) -> list[bytes]:
@@ -289,17 +297,18 @@ def _kept(words: list[bytes], spans: list[dict] | None, window: int) -> list[byt
 
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> tuple[DataFrame, str, str]:
-    order, spans = fresh(docs.columns, "__ord"), fresh(docs.columns, "__spans")
-    found = repeated_spans(docs, id_col, text_col, min_words).select(F.col("ord").alias(order), F.col("spans").alias(spans))
-    return docs.withColumn(order, row_order(quoted(id_col), quoted(text_col))).join(found, order, "left"), order, spans
+    order, mark, spans = (fresh(docs.columns, c) for c in ("__ord", "__mark", "__spans"))
+    found = repeated_spans(docs, id_col, text_col, min_words).select(F.col("ord").alias(order), F.col("mark").alias(mark), F.col("spans").alias(spans))
+    placed = docs.withColumn(order, row_order(quoted(id_col), quoted(text_col))).withColumn(mark, text_mark(quoted(text_col)))
+    return placed.join(found, [order, mark], "left"), order, spans
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the repeated words taken out of the texts that have some.
 
     The words that stay are joined by one blank; texts without a repeat (null and empty ones
-    too) stay as they are; all rows and columns stay, a text may become empty. Repeated rows
-    of one id keep their words. One text's words must fit a task's memory.
+    too) stay as they are; all rows and columns stay, a text may become empty. Rows of one id,
+    equal or not, lose only words that rows of smaller ids have. One text's words must fit a task's memory.
     """
     marked, order, spans = _with_spans(docs, id_col, text_col, min_words)
     marked = marked.select(*[quoted(c) for c in docs.columns], spans)

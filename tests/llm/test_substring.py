@@ -49,6 +49,34 @@ def test_rows_of_one_id_and_without_id(spark):
     assert rows == [(4, 0), (4, 0), (None, 20), (None, 20)]
 
 
+def test_texts_of_one_id_are_kept_apart(spark):
+    """A row's repeats are taken out of that row alone, also where another text has its id."""
+    passage = " ".join(f"p{k}" for k in range(13))
+    lead, other = "a b c d e", " ".join(f"o{k}" for k in range(30))
+    rows = [(1, passage), (2, lead + " " + passage), (2, other), (2, other + " " + passage), (3, other), (None, other), (None, passage + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((str(r["doc_id"]), r["n_words"], r["n_removed"]) for r in substring.removal_report(docs).collect()))
+    assert got == sorted([("1", 13, 0), ("2", 18, 13), ("2", 30, 0), ("2", 43, 13), ("3", 30, 30), ("None", 30, 30), ("None", 14, 13)])
+    left = sorted((str(r["doc_id"]), r["text"]) for r in substring.drop_repeats(docs).collect())
+    assert left == sorted([("1", passage), ("2", lead), ("2", other), ("2", other), ("3", ""), ("None", ""), ("None", "x")])
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_repeated_ids_match_brute_force(spark, seed):
+    """Several texts to an id: windows of smaller ids count, those of the same id do not."""
+    rng = random.Random(seed)
+    bank = [helpers.prose(rng, 25, 3) for _ in range(5)]
+    rows = [(rng.randrange(12), " ".join(rng.choice(bank) if rng.random() < 0.5 else helpers.prose(rng, 9, 3) for _ in range(3))) for _ in range(50)]
+    first: dict = {}
+    split = [(i, helpers.WORD.findall(t)) for i, t in rows]
+    for i, w in split:
+        for k in range(len(w) - 12):
+            first[tuple(w[k: k + 13])] = min(i, first.get(tuple(w[k: k + 13]), i))
+    want = sorted((i, len(w), len({j for k in range(len(w) - 12) if first[tuple(w[k: k + 13])] < i for j in range(k, k + 13)})) for i, w in split)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in substring.removal_report(docs).collect()) == want
+
+
 def test_empty_table(spark):
     docs = helpers.documents(spark, [])
     assert substring.removal_report(docs).collect() == []
