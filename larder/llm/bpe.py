@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import map_arrow, quoted, slices, table
 from .pieces import PieceMemo
 
-#: Words that one recursive query contracts at a time.
-QUERY_WORDS = 10_000
+#: Words that one recursive query contracts at a time, and rows that all its steps may have.
+QUERY_WORDS, QUERY_ROWS = 10_000, 4_000_000
 #: Texts whose new words are encoded together.
 ENCODE_ROWS = 2048
 #: Token rows that one query decodes at a time.
@@ -91,7 +91,7 @@ class Coder:
 
     def _query(self, sql: str, name: str, rows: pa.Table) -> pa.Table:
         if self.db is None:
-            self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "preserve_insertion_order": False})
+            self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": "", "preserve_insertion_order": False})
             for table_name, content in self.tables.items():
                 self.db.register("rows", content)
                 self.db.execute(f"CREATE TABLE {table_name} AS SELECT * FROM rows")
@@ -123,6 +123,19 @@ class Coder:
                     heapq.heappush(heap, (s, a))
         return [i for i in ids if i >= 0]
 
+    @staticmethod
+    def _batches(short: list[int], words: list[bytes]) -> Iterator[list[int]]:
+        """Runs of words for one query: a word of n bytes has n rows at most in each of at most n steps."""
+        lo = rows = 0
+        for hi, k in enumerate(short):
+            size = len(words[k]) ** 2
+            if hi > lo and (rows + size > QUERY_ROWS or hi - lo == QUERY_WORDS):
+                yield short[lo:hi]
+                lo, rows = hi, 0
+            rows += size
+        if short:
+            yield short[lo:]
+
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of words, each encoded by itself, as little-endian unsigned 32-bit integers."""
         out: list[bytes] = [b""] * len(words)
@@ -135,8 +148,8 @@ class Coder:
                 out[k] = np.array(self._heap(w), dtype="<u4").tobytes()
             else:
                 short.append(k)
-        for lo in range(0, len(short), QUERY_WORDS):
-            some = short[lo: lo + QUERY_WORDS]
+        short.sort(key=lambda k: len(words[k]))  # words of one query take about as many steps
+        for some in self._batches(short, words):
             sizes = np.array([len(words[k]) for k in some])
             ends = np.cumsum(sizes)
             pos = np.arange(ends[-1])
