@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .common import map_arrow, materialise, quoted, runs, slices, table, without_gc
+from .pieces import PIECE
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Text bytes of a chunk, unless one text is longer.
@@ -52,8 +53,6 @@ MEMO_ROWS = 400_000
 #: Pieces that are aligned, and piece places that are added up, at a time.
 STEP_PIECES, STEP_PLACES = 20_000, 200_000
 _ALIGNERS: dict[tuple, Aligner] = {}
-#: A blank or line end after a character other than white space begins a piece.
-_PIECE = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Byte-level vocabularies write each byte as a letter: printable Latin-1 as itself, others from 256 on.
 _LETTERS = {b: chr(b) for b in _PRINTED} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
@@ -165,7 +164,7 @@ class Aligner:
 
     def pieces(self, text: str) -> list[str]:
         """A blank and the text, in pieces that both vocabularies encode by themselves."""
-        return _PIECE.findall(" " + text) if self.cuts else [" " + text]
+        return PIECE.findall(" " + text) if self.cuts else [" " + text]
 
     def encode_a(self, some: list[str]) -> list[list[int]]:
         if not self.byte_level:

@@ -1,10 +1,8 @@
 """Whole-text encoding through pieces that a byte-level BPE encodes independently.
 
 The vocabularies' pattern never joins a character that is not white space with white space
-after it, so a text may be cut before any white space that follows such a character. Where
-no two white-space characters stand side by side, it may also be cut after a line end:
-there the pieces are the line ends and the words of each line, all but the first of a line
-with the blank before them. Each different piece is encoded once and remembered.
+after it, so a text may be cut before any blank or line end that follows such a character. Each
+different piece is encoded once and remembered.
 """
 
 from __future__ import annotations
@@ -12,65 +10,43 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+#: A blank or line end after a character other than white space begins a piece; so does the text.
+PIECE = re.compile(r"(?:\A|[ \n])\s*\S*(?:[^\S \n]\s*\S*)*")
 _SIDE_BY_SIDE = re.compile(r"\s\s")
 #: Encoded pieces that one Python worker remembers.
 MEMO_ROWS = 800_000
 
 
-def cut(text: str) -> list[str]:
-    """Pieces of any text: cut before the blanks that follow a character other than white space."""
-    parts = text.split(" ")
-    out = [parts[0]]
-    for p in parts[1:]:
-        last = out[-1]
-        if not last or last[-1].isspace():
-            out[-1] = last + " " + p
-        else:
-            out.append(" " + p)
-    return out
-
-
 class PieceMemo:
     """Encodes texts by ``encode_pieces``, which gets each new piece once."""
 
     def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], rows: int = MEMO_ROWS):
         self.encode_pieces, self.rows = encode_pieces, rows
         self.whole: dict[str, bytes] = {}  # piece -> ids
-        self.after: dict[str, bytes] = {}  # word -> ids of the word with a blank before it
+        self.after: dict[str, bytes] = {}  # piece without the blank it begins with, or from its line end on -> ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole, after = self.whole, self.after
         if len(whole) + len(after) > self.rows:
             whole.clear()
             after.clear()
-        found: list[tuple[list[str], list[tuple[list[str], list]] | None]] = []
-        heads, tails = {"\n"}, set()
+        heads, tails = set(), set()
+        found: list[tuple[list[str], list[str], list[bytes] | None]] = []
         for t in texts:
             if _SIDE_BY_SIDE.search(t):
-                pieces, rests = cut(t), None
-            else:
-                lines = [line.split(" ") for line in t.split("\n")]
-                pieces = [line.pop(0) for line in lines]  # the first word of each line
-                rests = []
-                for words in lines:
-                    known = list(map(after.get, words))
-                    if not all(known):
-                        tails.update([w for w, ids in zip(words, known, strict=True) if ids is None])
-                    rests.append((words, known))
+                pieces, rest = PIECE.findall(t), []
+            else:  # as above, but a plain split finds the pieces
+                first, *rest = t.replace("\n", " \n").split(" ")
+                pieces = [first]
             heads.update(pieces)
-            found.append((pieces, rests))
+            known = list(map(after.get, rest))
+            if None in known:
+                tails.update([p for p, ids in zip(rest, known, strict=True) if ids is None])
+                known = None
+            found.append((pieces, rest, known))
         new_heads, new_tails = [p for p in heads if p not in whole], list(tails)
-        ids = self.encode_pieces(new_heads + [" " + p for p in new_tails])
+        ids = self.encode_pieces(new_heads + [p if p[:1] == "\n" else " " + p for p in new_tails])
         whole.update(zip(new_heads, ids, strict=False))
         after.update(zip(new_tails, ids[len(new_heads):], strict=True))
-        end, get = whole["\n"], whole.__getitem__
-
-        def line(head: str, words: list[str], known: list) -> bytes:
-            if not all(known):
-                known = [ids or after[w] for w, ids in zip(words, known, strict=True)]
-            return get(head) + b"".join(known)
-
-        return [
-            b"".join(map(get, pieces)) if rests is None else end.join([line(head, *rest) for head, rest in zip(pieces, rests, strict=True)])
-            for pieces, rests in found
-        ]
+        of_head, of_tail = whole.__getitem__, after.__getitem__
+        return [b"".join([*map(of_head, pieces), *(map(of_tail, rest) if known is None else known)]) for pieces, rest, known in found]

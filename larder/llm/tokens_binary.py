@@ -1,6 +1,7 @@
 """Token-id output: one zstandard frame for each document, under a shared dictionary.
 
-Ids are little-endian unsigned 32-bit integers. A zstandard dictionary is trained on a
+Ids are little-endian unsigned 32-bit integers, as the tokenizers library gives them without
+adding special tokens; the string of a special token in a text is that token. A zstandard dictionary is trained on a
 bounded sample of serialised id arrays; every document's ids are one frame of their own, so
 any document can be read without its neighbours. Files are Parquet rows of blocks: first
 document's id and token start, the dictionary's hash, the frames one after another, and an
@@ -54,23 +55,26 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         spec = json.loads(self.tokenizer.to_str())
+        #: Strings that the library finds in a text before it splits it; none may be cut apart.
+        self.added = [t["content"] for t in spec["added_tokens"]]
         plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         self.packed = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
         self.byte_level = plain.items() <= (spec["pre_tokenizer"] or {}).items() and spec["normalizer"] is None and spec["model"]["type"] == "BPE"
+        if any(c.isspace() for t in self.added for c in t) or any(t[k] for t in spec["added_tokens"] for k in ("lstrip", "rstrip", "single_word", "normalized")):
+            raise ValueError("an added token of this vocabulary reaches over pieces of a text")
         self.memo = PieceMemo(self.encode_pieces)
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        if not self.byte_level:
-            found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-        split = [_PATTERN.findall(p) for p in pieces]
+        whole = {p: b"" for p in pieces if not self.byte_level or any(t in p for t in self.added)}
+        for p, e in zip(whole, self.tokenizer.encode_batch_fast(list(whole), add_special_tokens=False), strict=True):
+            whole[p] = np.array(e.ids, dtype="<u4").tobytes()
+        split = [[] if p in whole else _PATTERN.findall(p) for p in pieces]
         tokenize, packed, ids = self.tokenizer.model.tokenize, self.packed, {}
-        for w in {w for s in split for w in s}:
+        for w in set().union(*split):
             letters = w.replace(" ", _BLANK) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_LETTERS)
             ids[w] = b"".join([packed[t.id] for t in tokenize(letters)])
-        return [b"".join([ids[w] for w in s]) for s in split]
+        return [whole[p] if p in whole else ids[s[0]] if len(s) == 1 else b"".join([ids[w] for w in s]) for p, s in zip(pieces, split, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""

@@ -68,9 +68,7 @@ def test_empty_tables(spark, tmp_path):
 
 
 def library():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def test_pieces_encode_like_whole_texts():
