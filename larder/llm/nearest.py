@@ -29,8 +29,10 @@ from .common import map_arrow, materialise, quoted, table
 TABLES = 2
 PROBES = 40
 SEED = 42
-#: Index rows and queries of one bucket that meet in a task.
+#: Index rows and queries of one bucket that meet in a task, at most.
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 8_192
+#: A bucket of more rows than this many mean buckets of its table is cut into blocks too.
+HOT = 2
 #: Distances that are computed at a time.
 STEP_CELLS = 1 << 20
 
@@ -167,10 +169,11 @@ def _search(index: DataFrame, queries: DataFrame, k: int, tables: int, probes: i
     at = ["n", "tab", "bucket"]
     rows, asked = _hashed(index, tables, None, seed), _hashed(queries, tables, probes, seed)
     # Blocks of each bucket: a row for each table and axis, whatever the number of vectors.
-    heat = materialise(
-        rows.select(*at, F.lit(1).alias("r"), F.lit(0).alias("q")).unionAll(asked.select(*at, F.lit(0), F.lit(1))).groupBy(*at)
-        .agg(F.ceil(F.sum("r") / BLOCK_ROWS).cast("int").alias("nr"), F.ceil(F.sum("q") / BLOCK_QUERIES).cast("int").alias("nq"))
-        .where("nr > 0 AND nq > 0"), f"{name}-heat")
+    counts = (rows.select(*at, F.lit(1).alias("r"), F.lit(0).alias("q")).unionAll(asked.select(*at, F.lit(0), F.lit(1)))
+              .groupBy(*at).agg(F.sum("r").alias("r"), F.sum("q").alias("q")).where("r > 0 AND q > 0"))
+    same = Window.partitionBy("n", "tab")
+    blocks = lambda c, most: F.ceil(F.col(c) / F.least(F.lit(most), F.greatest(F.lit(1), F.ceil(HOT * F.avg(c).over(same))))).cast("int")
+    heat = materialise(counts.select(*at, blocks("r", BLOCK_ROWS).alias("nr"), blocks("q", BLOCK_QUERIES).alias("nq")), f"{name}-heat")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     hot = lambda df: df.withColumn("key", F.xxhash64("id", "vec")).join(heat, at)
     group = [*at, "rb", "qb"]
