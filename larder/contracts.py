@@ -92,6 +92,9 @@ TRANSFORM_REQUIRES: dict[str, tuple[str, ...]] = {
 }
 SILVER_PARTITION: dict[str, str | tuple[str, ...]] = {"orders": "store_id", "out_of_stock": ("day", "date")}
 
+# Snapshot tables whose dates belong in the calendar, and the column (the feed's are folder names).
+CALENDAR_DATES = {"orders": "order_date"}
+
 # Tables whose CSV extracts hold quoted line breaks (such files cannot be split).
 MULTILINE = frozenset({"clients"})
 

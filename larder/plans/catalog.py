@@ -9,6 +9,7 @@ folder (``larder.storage``), a fresh directory per run.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +17,18 @@ from pyspark.sql import functions as F
 
 from .. import contracts
 from ..functions import calendar as cal
+from ..operators import keys, setops
 from ..operators import relational as rel
-from ..operators import setops
 from ..operators.keys import new_keys_only
 from ..operators.partitioning import cluster_by
 from ..operators.registry import apply_transform
 from ..quality import checks
 from ..sessionconf import small_files_session
+from ..sinks import compaction, versions
 from ..sinks import files as sinks
+from ..sources import drift, manifest
 from ..sources import files as src
-from ..storage import scratch_path
+from ..storage import remove, scratch_path
 from . import daily, feed, marts, roles
 from .roles import with_bronze_sql as W
 
@@ -385,6 +388,145 @@ def q_fact_oos_full_then_daily(spark, d):
     return src.read_parquet(spark, f"{layout.gold}/fact_out_of_stock", contracts.GOLD["fact_out_of_stock"])
 
 
+@query("stream_dated_layout", _EVENTS_SQL)
+def q_stream_dated_layout(spark, d):
+    """D2/S3 — the stream over ``<date>/data.json``: half of the days are landed and run, then the
+    others; then some early days are archived, and the run after that takes nothing away."""
+    from ..streaming.feed import run_feed_to_silver
+
+    spark = small_files_session(spark)
+    root, out = scratch_path(spark, "stream_dated_layout_feed"), scratch_path(spark, "stream_dated_layout")
+    events = roles.landed_out_of_stock(spark, d)
+    odd = F.pmod(F.unix_date("day"), F.lit(2)) == 0
+    for part in (events.where(odd), events.where(~odd)):
+        sinks.land_json_days(part, root, "day", layout="dated")
+        run_feed_to_silver(spark, root, f"{out}/silver", f"{out}/checkpoint", layout="dated")
+    first = events.agg(F.min("day")).first()[0]
+    remove(spark, f"{root}/{first}")
+    run_feed_to_silver(spark, root, f"{out}/silver", f"{out}/checkpoint", layout="dated")
+    return feed.read_events(spark, f"{out}/silver")
+
+
+@query("feed_withdrawn_days", W(
+    "SELECT DISTINCT product_id, date FROM b_landed_days WHERE day <> (SELECT max(day) FROM b_landed_days) "
+    "AND day <> (SELECT min(day) FROM b_landed_days)", "landed_days"))
+def q_feed_withdrawn_days(spark, d):
+    """D2 — the manifest: the last landing day is withdrawn, the first is landed again without a
+    record; both leave silver, all other days stay though no landing folder is left."""
+    spark = small_files_session(spark)
+    root, out = scratch_path(spark, "feed_withdrawn_days_feed"), scratch_path(spark, "feed_withdrawn_days")
+    events = roles.landed_out_of_stock(spark, d)
+    sinks.land_json_days(events, root, "day")
+    days = _days_of(events)
+    manifest.declare(spark, root, {r["day"]: r["count"] for r in events.groupBy("day").count().collect()})
+    feed.load_days(spark, root, days, out)
+    for day in days:
+        remove(spark, src.day_dir(root, day))
+    manifest.withdraw(spark, root, [days[-1]])
+    manifest.declare(spark, root, {days[0]: 0})
+    feed.drop_emptied_days(spark, root, out)
+    return feed.read_events(spark, out)
+
+
+@query("sink_parquet_published", WS("SELECT * FROM s_clients", "clients"))
+def q_sink_parquet_published(spark, d):
+    """K1 — published versions: the second is written from the rows of the first, which then goes."""
+    path = scratch_path(spark, "sink_parquet_published")
+    versions.publish(silver(spark, d, "clients"), path)
+    versions.publish(versions.read_published(spark, path, contracts.BRONZE["clients"]), path)
+    versions.expire(spark, path)
+    return versions.read_published(spark, path, contracts.BRONZE["clients"])
+
+
+@query("compact_daily_table", WS("SELECT * FROM s_out_of_stock", "out_of_stock"))
+def q_compact_daily_table(spark, d):
+    """K2/R2 — a table with a folder for each day, packed into spans near a target size, twice."""
+    spark = small_files_session(spark)
+    daily_path, out = scratch_path(spark, "compact_daily_table_days"), scratch_path(spark, "compact_daily_table")
+    sinks.write_parquet_daily(silver(spark, d, "out_of_stock"), daily_path)
+    for _ in range(2):
+        compaction.compact(spark, daily_path, out, contracts.BRONZE["out_of_stock"], "date", target_bytes=1 << 20)
+    return compaction.read_compacted(spark, out, contracts.BRONZE["out_of_stock"]).drop(compaction.SPAN)
+
+
+@query("append_new_keys_bucketed", W(
+    "SELECT DISTINCT order_date AS action_date FROM b_orders WHERE order_date > (SELECT max(order_date) - 400 FROM b_orders)", "orders"))
+def q_append_new_keys_bucketed(spark, d):
+    """K5b — the dates before the last 400 days are in the key table; all dates are appended twice, and
+    only those of the last 400 days are new, the second time none."""
+    path = scratch_path(spark, "append_new_keys_bucketed")
+    dates = bronze(spark, d, "orders").select(F.col("order_date").alias("action_date"))
+    last = dates.agg(F.max("action_date")).first()[0]
+    keys.add_keys(dates.where(F.col("action_date") <= F.lit(last - dt.timedelta(days=400))).distinct(), path, ["action_date"], buckets=64)
+    out = scratch_path(spark, "append_new_keys_bucketed_rows")
+    for _ in range(2):
+        new = keys.new_keys_bucketed(dates, path, ["action_date"], buckets=64)
+        sinks.write_parquet(new, out, mode="append")
+        keys.add_keys(src.read_parquet(spark, out), path, ["action_date"], buckets=64)
+    return src.read_parquet(spark, out)
+
+
+@query("dim_date_upkeep", WS(
+    f"SELECT {CAL_SQL} FROM (SELECT order_date AS action_date FROM s_orders "
+    "UNION SELECT date FROM s_out_of_stock) u", "orders", "out_of_stock"))
+def q_dim_date_upkeep(spark, d):
+    """D10 — the calendar from kept dates and folder names; orders and events are not read for it."""
+    spark = small_files_session(spark)
+    base = scratch_path(spark, "dim_date_upkeep")
+    layout = daily.ShopLayout(f"{base}/bronze", f"{base}/feed", f"{base}/silver", f"{base}/gold")
+    sinks.write_parquet(silver(spark, d, "orders"), layout.silver_table("orders"), partition_by="store_id")
+    daily.keep_dates(spark, layout, "orders")
+    events = silver(spark, d, "out_of_stock").withColumn("day", F.col("date"))
+    sinks.write_parquet_daily(events, layout.silver_table("out_of_stock"), ("day", "date"))
+    daily.refresh_calendar(spark, layout)
+    return src.read_parquet(spark, f"{layout.gold}/dim_date", contracts.GOLD["dim_date"])
+
+
+def _land_drifting_products(spark, d, name: str) -> list[str]:
+    """Products as three daily files: as the contract has them; with two columns changed round and one
+    more; without one column."""
+    base, rows = scratch_path(spark, name), bronze(spark, d, "products")
+    part = F.pmod(F.coalesce("product_id", F.lit(0)), F.lit(3))
+    variants = [rows.where(part == 0),
+                rows.where(part == 1).select("product_id", "aisle_id", F.lit("x,y").alias("note"), "product_name", "department_id"),
+                rows.where(part == 2).select("product_id", "product_name", "aisle_id")]
+    return [sinks.write_csv_snapshot(v, base, f"2021-01-0{k}", "products") for k, v in enumerate(variants, 1)]
+
+
+_THIRD = "coalesce(product_id, 0) % 3"
+
+
+@query("scan_csv_drift", W(
+    f"SELECT product_id, product_name, aisle_id, CASE WHEN {_THIRD} <> 2 THEN department_id END AS department_id FROM b_products", "products"))
+def q_scan_csv_drift(spark, d):
+    """X2/S2 — daily files whose headers differ, bound by name."""
+    return drift.read_csv_by_name(spark, _land_drifting_products(spark, d, "scan_csv_drift"), contracts.BRONZE["products"])
+
+
+@query("schema_drift_report", W(
+    "SELECT * FROM (VALUES ('2021-01-02', 'note', 'added'), ('2021-01-02', 'aisle_id', 'moved'), ('2021-01-02', 'product_name', 'moved'), "
+    "('2021-01-03', 'department_id', 'missing')) t(day, \"column\", change) WHERE (SELECT count(*) FROM b_products) > 0", "products"))
+def q_schema_drift_report(spark, d):
+    """X2/S2 — what changed in which day's files."""
+    paths = _land_drifting_products(spark, d, "schema_drift_report")
+    report = drift.drift_report(spark, paths, contracts.BRONZE["products"])
+    return report.select(F.regexp_extract("file", r"/(\d{4}-\d{2}-\d{2})/", 1).alias("day"), "column", "change").distinct()
+
+
+@query("fact_orders_bucketed", WS(
+    "SELECT f.store_id, st.location_area_id AS area_id, count(*) AS n_orders, sum(f.quantity) AS quantity FROM s_orders f "
+    "JOIN s_stores st ON st.store_id = f.store_id GROUP BY ALL", "orders", "stores"))
+def q_fact_orders_bucketed(spark, d):
+    """R1 — facts and stores in the same hash buckets of the store: they join, and sum up by store,
+    without an exchange."""
+    base, tag = scratch_path(spark, "fact_orders_bucketed"), uuid.uuid4().hex[:12]
+    facts = marts.fact_orders(silver(spark, d, "orders"), cluster=False)
+    for name, df in (("facts", facts), ("stores", marts.dim_stores(silver(spark, d, "stores"), silver(spark, d, "store_types")))):
+        sinks.write_bucketed(df, f"larder_{name}_{tag}", f"{base}/{name}", "store_id", 16)
+    joined = spark.table(f"larder_facts_{tag}").join(spark.table(f"larder_stores_{tag}").hint("merge"), "store_id")
+    return joined.groupBy("store_id", "area_id").agg(F.count("*").alias("n_orders"), F.sum("quantity").alias("quantity"))
+
+
 def _write_twice(df: DataFrame, name: str, **kw) -> str:
     out = scratch_path(df.sparkSession, name)
     sinks.write_parquet(df, out, **kw)

@@ -9,18 +9,21 @@ day can be re-run or back-filled. Each sink is one Spark action. Gold tables go
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import contracts
 from ..operators.registry import apply_transform
 from ..quality.checks import conform, rejects_with_reason
 from ..sessionconf import small_files_session
 from ..sinks import files as sinks
+from ..sinks import versions
 from ..sources import files as src
 from ..storage import children, exists, remove
 from . import feed, marts
@@ -74,10 +77,10 @@ def bronze_to_silver(
         sinks.write_csv(rejects, sinks.rejects_path(silver_path, rejects_date))
 
 
-def out_of_stock_to_silver(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date]) -> DataFrame:
+def out_of_stock_to_silver(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date]) -> list[dt.date | None]:
     """D2 (and S8 for several dates): landed JSON days -> silver, each landing day replaced whole.
 
-    Returns the event dates (column ``date``, NULL included) whose facts may have changed.
+    Returns the event dates (None: events without a date) whose facts may have changed.
     """
     return feed.load_days(small_files_session(spark), layout.feed, run_dates, layout.silver_table("out_of_stock"),
                           layout=layout.feed_layout)
@@ -137,25 +140,32 @@ def run_shop_snapshot(spark: SparkSession, layout: ShopLayout, run_date: dt.date
     tables = [t for t in contracts.SILVER_TRANSFORM if t != feed.TABLE]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         list(pool.map(inheritable_thread_target(spark)(load), tables))
+    for table in contracts.CALENDAR_DATES:
+        keep_dates(spark, layout, table)
     build_gold(spark, layout, write,
                tables=["dim_stores", "dim_products", "dim_clients", "dim_area", "fact_orders"])
 
 
-def refresh_fact_out_of_stock(spark: SparkSession, layout: ShopLayout, touched: DataFrame) -> None:
+def touched_facts(spark: SparkSession, layout: ShopLayout, touched: Collection[dt.date | None]) -> DataFrame:
+    """The facts of the touched event dates; silver's other date folders are not read."""
+    events = feed.of_dates(read_silver(spark, layout, feed.TABLE), touched)
+    return conform(marts.fact_out_of_stock(events), contracts.GOLD["fact_out_of_stock"])
+
+
+def refresh_fact_out_of_stock(spark: SparkSession, layout: ShopLayout, touched: Collection[dt.date | None]) -> None:
     """D8 incremental on the Parquet gold layer: only the touched event dates are read from
     silver and replaced in gold, so a daily run costs its dates, not the whole history.
 
     A touched date without facts left loses its gold partition.
     """
-    events = read_silver(spark, layout, feed.TABLE)
+    if not touched:
+        return
     target = gold_path(spark, layout, "fact_out_of_stock")
-    facts = conform(marts.fact_out_of_stock(feed.of_dates(events, touched)), contracts.GOLD["fact_out_of_stock"])
+    facts = touched_facts(spark, layout, touched)
     sinks.write_parquet(facts, target, mode="overwrite", partition_by=contracts.GOLD_PARTITION["fact_out_of_stock"], dynamic=True)
-    gone = touched.where("date IS NOT NULL").join(events.select("date").distinct(), "date", "left_anti")
-    for row in gone.collect():  # touched dates alone, each a folder
-        remove(spark, f"{target}/oos_date={row['date']}")
-    if touched.where("date IS NULL").count() and events.where("date IS NULL").isEmpty():
-        remove(spark, f"{target}/oos_date={feed.NULL_FOLDER}")
+    left = {r[0] for r in facts.select("oos_date").distinct().collect()}  # touched dates alone, each a folder
+    for date in set(touched) - left:
+        remove(spark, f"{target}/oos_date={feed.NULL_FOLDER if date is None else date}")
 
 
 def run_out_of_stock(spark: SparkSession, layout: ShopLayout, run_dates: Iterable[dt.date],
@@ -173,6 +183,34 @@ def run_out_of_stock(spark: SparkSession, layout: ShopLayout, run_dates: Iterabl
         build_gold(spark, layout, write, tables=["fact_out_of_stock"])
 
 
+def dates_path(layout: ShopLayout, table: str) -> str:
+    """Where the distinct dates of a silver table are kept beside it."""
+    return f"{layout.silver_table(table)}_dates"
+
+
+def keep_dates(spark: SparkSession, layout: ShopLayout, table: str) -> None:
+    """Publish the distinct dates of the snapshot that was just loaded (one column is read).
+
+    Done once for each snapshot, so no later run has to look for them in the table.
+    """
+    column = contracts.CALENDAR_DATES[table]
+    dates = read_silver(spark, layout, table).select(F.col(column).alias("date")).distinct()
+    versions.publish(dates.coalesce(1), dates_path(layout, table))
+    versions.expire(spark, dates_path(layout, table))
+
+
+def refresh_calendar(spark: SparkSession, layout: ShopLayout) -> None:
+    """D10 as upkeep: the calendar from the kept dates of the snapshots and from the names of the
+    feed's date folders. Neither orders nor events are read; equal to the full rebuild.
+    """
+    parts = [versions.read_published(spark, dates_path(layout, t), "date date") for t in contracts.CALENDAR_DATES]
+    names = feed.folder_dates(spark, layout.silver_table(feed.TABLE))
+    parts.append(spark.createDataFrame([(d,) for d in names], "date date"))
+    dates = reduce(DataFrame.union, parts).select(F.col("date").alias(marts.DATE_COL)).distinct()
+    target = gold_path(spark, layout, "dim_date")
+    sinks.write_parquet(conform(marts.with_calendar_parts(dates).coalesce(1), contracts.GOLD["dim_date"]), target)
+
+
 def append_calendar_day(spark: SparkSession, existing_dim_date: DataFrame, run_date: dt.date) -> DataFrame:
     """D11 — the calendar row to append for ``run_date`` (empty if already present)."""
     return conform(marts.append_dim_date(spark, existing_dim_date, run_date), contracts.GOLD["dim_date"])
@@ -183,12 +221,14 @@ def append_calendar(spark: SparkSession, layout: ShopLayout, run_date: dt.date,
     """D11: append the run date's calendar row unless present.
 
     ``append`` takes the row and the table's name (for example ``append_to_dwh`` bound to a
-    warehouse), ``existing`` is the calendar there; without them both are the Parquet gold
-    layer's. A calendar that does not exist yet is empty; one that cannot be read is an error.
+    warehouse) and needs ``existing``, the calendar there; without both they are the Parquet
+    gold layer's. A calendar that does not exist yet is empty; one that cannot be read is an error.
     """
     target = gold_path(spark, layout, "dim_date")
     if existing is None:
-        empty = append is not None or not exists(spark, target)
+        if append is not None:
+            raise ValueError("an append writer needs the calendar it appends to, or a key may be added twice")
+        empty = not exists(spark, target)
         existing = spark.createDataFrame([], contracts.gold_schema("dim_date")) if empty else spark.read.parquet(target)
     row = append_calendar_day(spark, existing, run_date)
     if append is not None:

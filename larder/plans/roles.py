@@ -170,6 +170,10 @@ LANDED_SQL = (
     "ELSE CAST(l_shipdate AS DATE) END AS date FROM lineitem WHERE l_returnflag = 'R'")
 
 
+LANDED_DAYS_SQL = LANDED_SQL.replace(
+    " FROM lineitem", f", CAST(l_shipdate AS DATE) + CASE WHEN l_partkey % {LATE_EVERY} = 0 THEN 1 ELSE 0 END AS day FROM lineitem")
+
+
 def _misfit(key: Column, value: Column, only: tuple[int, ...]) -> Column:
     out = value.cast("string")
     for at in only:
@@ -249,6 +253,7 @@ BRONZE_SQL: dict[str, str] = {
         "CAST(l_quantity AS INTEGER) AS quantity, CAST(o_orderdate AS DATE) AS order_date "
         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey", "order_id"),
     "landed": LANDED_SQL,
+    "landed_days": LANDED_DAYS_SQL,
     "out_of_stock": (
         "SELECT CAST(l_partkey AS INTEGER) AS product_id, CAST(l_shipdate AS DATE) AS date "
         "FROM lineitem WHERE l_returnflag = 'R'"),

@@ -14,7 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import manifest
 from ..sources.files import CSV_DIALECT, DAY_KEY, day_dir, snapshot_path
+from ..storage import children, move, scratch_path
 
 
 def _cols(partition_by: str | Sequence[str] | None) -> list[str]:
@@ -74,17 +76,42 @@ def write_csv_snapshot(df: DataFrame, bronze_root: str, run_date: dt.date | str,
     return path
 
 
-def land_json_day(df: DataFrame, root: str, run_date: dt.date | str, *, layout: str = "day") -> None:
-    """K6 — land one day's feed in its day's folder (overwrites that day)."""
-    df.write.mode("overwrite").json(day_dir(root, run_date, layout))
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """R1 — a catalog table in a fixed number of hash buckets of ``key``, instead of a folder a key.
+
+    The number of files follows the buckets, however many keys there are, and tables with the same
+    key and buckets join without an exchange. The rows are clustered by ``rebalance``, so a key that
+    holds a large share of them is written by several tasks (several files of its bucket).
+    """
+    at = next(c for c in ("bucket", "bucket_", "bucket__") if c not in df.columns)
+    clustered = df.withColumn(at, F.pmod(F.hash(key), F.lit(buckets))).hint("rebalance", at).drop(at)  # the bucket as Spark counts it
+    (clustered.write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+
+
+def land_json_day(df: DataFrame, root: str, run_date: dt.date | str, *, layout: str = "day", declared: bool = True) -> None:
+    """K6 — land one day's feed in its day's folder (overwrites that day).
+
+    The day is then declared complete in the feed's manifest, with its number of records.
+    """
+    spark, path = df.sparkSession, day_dir(root, run_date, layout)
+    df.write.mode("overwrite").json(path)
+    if declared:
+        landed = spark.read.schema(df.schema).json(path).count()  # what is there, not what a second run of ``df`` gives
+        manifest.declare(spark, root, {run_date: landed})
 
 
-def land_json_days(df: DataFrame, root: str, date_col: str = "date") -> None:
-    """K6 for many days at once: one ``day=<date>`` folder per value of ``date_col``.
+def land_json_days(df: DataFrame, root: str, date_col: str = "date", *, layout: str = "day") -> None:
+    """K6 for many days at once: one folder per value of ``date_col``.
 
     Records keep their own date field (a column named ``day`` is the landing day alone and
-    is not written into the records); only the days present are replaced.
+    is not written into the records); only the days present are replaced. The ``dated`` layout
+    is written beside and its days are put in place one after another.
     """
     landed = df.withColumn(DAY_KEY, F.col(date_col))
+    target = root if layout == "day" else scratch_path(df.sparkSession, "land_json_days")
     (_clustered(landed, [DAY_KEY]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(DAY_KEY).json(root))
+     .partitionBy(DAY_KEY).json(target))
+    if layout != "day":
+        for name in children(df.sparkSession, target):
+            move(df.sparkSession, f"{target}/{name}", day_dir(root, name.partition("=")[2], layout))

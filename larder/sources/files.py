@@ -37,10 +37,14 @@ def snapshot_path(root: str, run_date: dt.date | str, table: str, layout: str =
     return SNAPSHOT_LAYOUTS[layout].format(root=root.rstrip("/"), date=run_date, table=table)
 
 
+def day_pattern(layout: str = "day") -> str:
+    """A pattern whose first group is the landing day in a landed file's path."""
+    return FEED_LAYOUTS[layout].format(root="", date=r"(\d{4}-\d{2}-\d{2})").replace(".", "[.]") + "/?"
+
+
 def with_landing_day(df: DataFrame, layout: str = "day") -> DataFrame:
     """``df`` with the landing day of each record, taken from its file's path."""
-    pattern = FEED_LAYOUTS[layout].format(root="", date=r"(\d{4}-\d{2}-\d{2})").replace(".", "[.]")
-    return df.withColumn(DAY_KEY, F.to_date(F.regexp_extract(F.col("_metadata.file_path"), pattern + "/?", 1)))
+    return df.withColumn(DAY_KEY, F.to_date(F.regexp_extract(F.col("_metadata.file_path"), day_pattern(layout), 1)))
 
 
 def read_csv(

@@ -79,12 +79,61 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if not n.startswith((".", "_")) or "=" in n)
 
 
-def holds_bytes(spark: SparkSession, path: str) -> bool:
-    """Whether any file under ``path`` has content; false if it is missing."""
+def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
-    return fs.exists(p) and fs.getContentSummary(p).getLength() > 0
+    fs.delete(p, True)
 
 
-def remove(spark: SparkSession, path: str) -> None:
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Put a folder in the place of another."""
     fs, p = _fs(spark, path)
-    fs.delete(p, True)
+    _, t = _fs(spark, target)
+    fs.delete(t, True)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(p, t):
+        raise RuntimeError(f"could not move {path} to {target}")
+
+
+def _stream_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def first_line(spark: SparkSession, path: str, most: int = 1 << 16) -> str:
+    """The first line of a text file, from at most ``most`` bytes of it."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        raw = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(
+            spark._jvm.org.apache.commons.io.input.BoundedInputStream(stream, most)))
+    finally:
+        stream.close()
+    return raw.split(b"\n")[0].decode("utf-8", "replace").rstrip("\r").removeprefix("\ufeff")
+
+
+def log_names(spark: SparkSession, folder: str) -> list[str]:
+    """Entries of a log folder in order."""
+    return [n for n in children(spark, folder) if n.isdigit()]
+
+
+def log_read(spark: SparkSession, folder: str, name: str) -> str:
+    return _stream_text(spark, f"{folder.rstrip('/')}/{name}")
+
+
+def log_append(spark: SparkSession, folder: str, text: str) -> str:
+    """Add the next entry; it appears whole or not at all. Two writers at once: one of them fails."""
+    names = log_names(spark, folder)
+    name = f"{int(names[-1]) + 1 if names else 1:09d}"
+    fs, p = _fs(spark, f"{folder.rstrip('/')}/{name}")
+    _, beside = _fs(spark, f"{folder.rstrip('/')}/.{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(p) or not fs.rename(beside, p):
+        fs.delete(beside, False)
+        raise RuntimeError(f"another writer added {name} to {folder}")
+    return name

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import os
 
 import pytest
@@ -210,20 +211,66 @@ def test_contract_report(spark):
     assert got == [("t", "max_length_3", "name", 1), ("t", "not_null", "k", 1), ("t", "unique_key", "k", 1)]
 
 
-def test_incremental_fact_refresh_reads_only_the_run_days(spark, out):
+def test_incremental_fact_refresh_reads_only_the_touched_dates(spark, out):
     layout = _layout(out)
     feed = roles.bronze(spark, SF_SMOKE, "out_of_stock")
-    days = [r[0] for r in feed.select("date").distinct().orderBy("date").limit(2).collect()]
+    days = [r[0] for r in feed.select("date").distinct().orderBy("date").limit(3).collect()]
     for d in days:
-        sinks.land_json_day(feed.where(F.col("date") == d), layout.feed, d)
+        _land(spark, layout, d, [(r[0], r[1]) for r in feed.where(F.col("date") == d).collect()] + [(7, None)])
     daily.run_out_of_stock(spark, layout, days)
-    silver = daily.read_silver(spark, layout, "out_of_stock").where(F.col("date").isin(days[1:]))
-    plan = silver._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan
-    gold = spark.read.parquet(f"{layout.gold}/fact_out_of_stock")
-    assert gold.columns == ["product_id", "oos_date"]
-    n = gold.count()
-    assert n == feed.where(F.col("date").isin(days)).distinct().count()
-    # A re-run of the second day replaces only that day.
-    daily.run_out_of_stock(spark, layout, days[1:])
-    assert spark.read.parquet(f"{layout.gold}/fact_out_of_stock").count() == n
+    before = _fact(spark, layout)
+    # The refresh's own plan: the touched dates are the partition filter of its scan.
+    plan = daily.touched_facts(spark, layout, days[1:2])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and plan.split("PartitionFilters: [")[1].split("]")[0].count(str((days[1] - dt.date(1970, 1, 1)).days)) + \
+        plan.split("PartitionFilters: [")[1].split("]")[0].count(str(days[1])) >= 1, plan
+    files = daily.touched_facts(spark, layout, days[1:2]).inputFiles()
+    assert files
+    # A file of another date cannot be read any more: the refresh of a day does not notice.
+    other = glob.glob(f"{layout.silver_table('out_of_stock')}/day={days[0]}/date={days[0]}/*.parquet")
+    kept = {f: open(f, "rb").read() for f in other}
+    for f in other:
+        with open(f, "w") as fh:
+            fh.write("not parquet")
+    daily.refresh_fact_out_of_stock(spark, layout, [days[1]])
+    daily.refresh_fact_out_of_stock(spark, layout, [])
+    for f, raw in kept.items():
+        with open(f, "wb") as fh:
+            fh.write(raw)
+    for crc in glob.glob(f"{layout.silver_table('out_of_stock')}/day={days[0]}/date={days[0]}/.*.crc"):
+        os.remove(crc)
+    assert _fact(spark, layout) == before
+    daily.refresh_fact_out_of_stock(spark, layout, [None, dt.date(1999, 1, 1)])  # no such date
+    assert _fact(spark, layout) == before
+
+
+def test_an_empty_array_takes_the_days_rows_away(spark, out):
+    layout = daily.ShopLayout(f"{out}/b", f"{out}/f", f"{out}/s", f"{out}/g", feed_layout="dated")
+    d = dt.date(2021, 3, 1)
+    path = f"{layout.feed}/{d}/data.json"
+    os.makedirs(os.path.dirname(path))
+    for text, want in (('[{"product_id": 1, "date": "2021-03-01"}]', [(1, d)]), ("[]", [])):
+        with open(path, "w") as fh:
+            fh.write(text)
+        daily.run_out_of_stock(spark, layout, [d])
+        assert _events(spark, layout) == want if want else not glob.glob(f"{layout.gold}/fact_out_of_stock/oos_date=*")
+
+
+def test_calendar_upkeep_equals_the_full_rebuild(spark, out):
+    layout = _layout(out)
+    _land_snapshots(spark, layout)
+    daily.run_shop_snapshot(spark, layout, RUN)
+    _land(spark, layout, RUN, [(1, RUN), (2, None)])
+    daily.run_out_of_stock(spark, layout, [RUN])
+    daily.build_gold(spark, layout, tables=["dim_date"])
+    rows = lambda: sorted(map(tuple, spark.read.parquet(f"{layout.gold}/dim_date").collect()), key=str)
+    full = rows()
+    for f in glob.glob(f"{layout.silver_table('orders')}/**/*.parquet", recursive=True):
+        with open(f, "w") as fh:  # orders are not read any more
+            fh.write("not parquet")
+    daily.refresh_calendar(spark, layout)
+    assert rows() == full
+
+
+def test_append_writer_needs_the_calendar(spark, out):
+    with pytest.raises(ValueError, match="calendar"):
+        daily.append_calendar(spark, _layout(out), RUN, append=lambda df, table: None)
