@@ -514,7 +514,7 @@ def q_schema_drift_report(spark, d):
 
 
 @query("fact_orders_bucketed", WS(
-    "SELECT f.store_id, st.location_area_id AS area_id, count(*) AS n_orders, sum(f.quantity) AS quantity FROM s_orders f "
+    "SELECT f.store_id, st.location_area_id AS area_id, count(*) AS n_orders, CAST(sum(f.quantity) AS BIGINT) AS quantity FROM s_orders f "
     "JOIN s_stores st ON st.store_id = f.store_id GROUP BY ALL", "orders", "stores"))
 def q_fact_orders_bucketed(spark, d):
     """R1 — facts and stores in the same hash buckets of the store: they join, and sum up by store,
