@@ -53,7 +53,7 @@ def compact(spark: SparkSession, path: str, out: str, schema: Spec, date_col: st
     packed = rows.join(F.broadcast(spans(spark, path, date_col, target_bytes)), date_col, "left")  # a row for each date
     packed = packed.select(*to_struct(schema).names, F.coalesce(SPAN, F.lit(NO_DATE)).alias(SPAN))
     # One shuffle deals whole spans out, and splits a span that is larger than a partition.
-    return versions.publish(packed, out, partition_by=SPAN)
+    return versions.publish(packed, out, partition_by=SPAN, sort_by=[date_col])
 
 
 def read_compacted(spark: SparkSession, out: str, schema: Spec) -> DataFrame:

@@ -37,6 +37,7 @@ def write_parquet(
     partition_by: str | Sequence[str] | None = None,
     dynamic: bool = False,
     max_records_per_file: int | None = None,
+    sort_by: Sequence[str] = (),
 ) -> None:
     """K1 (overwrite), K2 (append) and K2b (``dynamic=True``).
 
@@ -45,7 +46,10 @@ def write_parquet(
     (a plain append would store the day twice).
     """
     cols = _cols(partition_by)
-    writer = _clustered(df, cols).write.mode(mode)
+    clustered = _clustered(df, cols)
+    if sort_by:  # inside each file, so its statistics prune
+        clustered = clustered.sortWithinPartitions(*cols, *sort_by)
+    writer = clustered.write.mode(mode)
     if cols:
         writer = writer.partitionBy(*cols)
     if dynamic:

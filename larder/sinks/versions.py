@@ -29,13 +29,13 @@ def current(spark: SparkSession, path: str) -> str | None:
     return f"{path.rstrip('/')}/{log_read(spark, f'{path}/{LOG}', names[-1])}" if names else None
 
 
-def publish(df: DataFrame, path: str, *, partition_by: str | Sequence[str] | None = None) -> str:
+def publish(df: DataFrame, path: str, *, partition_by: str | Sequence[str] | None = None, sort_by: Sequence[str] = ()) -> str:
     """Write ``df`` as the table's next version and make it the current one; returns its folder.
 
     ``df`` may read the current version.
     """
     spark, name = df.sparkSession, f"{VERSION}{uuid.uuid4().hex}"
-    write_parquet(df, f"{path.rstrip('/')}/{name}", mode="errorifexists", partition_by=partition_by)
+    write_parquet(df, f"{path.rstrip('/')}/{name}", mode="errorifexists", partition_by=partition_by, sort_by=sort_by)
     log_append(spark, f"{path.rstrip('/')}/{LOG}", name)
     return f"{path.rstrip('/')}/{name}"
 
