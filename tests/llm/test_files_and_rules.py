@@ -5,11 +5,13 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import zlib
 from collections import Counter
 
 import duckdb
 import pytest
+import xxhash
 
 from larder.llm import hostrules, license_scan, sharding, warc
 from larder.llm.hostrules import OP9_SQL
@@ -108,10 +110,34 @@ def test_sharding_is_repeatable_shuffled_and_spreads_a_hot_id(spark, tmp_path, m
     assert first == again
     inside = [i for s, b, _, i in first if (s, b) == first[0][:2]]
     assert inside != sorted(inside)
-    monkeypatch.setattr(sharding, "HOT_ROWS", 100)
-    hot = sharding.write_shards(docs.selectExpr("IF(doc_id % 3 = 0, 7, doc_id) AS doc_id", "text"), str(tmp_path / "hot"), bucket_bytes=4000)
-    of_hot = Counter(r["bucket"] for r in hot.where("doc_id = 7").collect())
-    assert sum(of_hot.values()) == 1001 and len(of_hot) > 2 and hot.count() == 3000
+    monkeypatch.setattr(sharding, "COPIES", 100)
+    hot = docs.selectExpr("IF(doc_id % 3 = 0, 7, doc_id) AS doc_id", "text")
+    dealt = [sharding.slots(sharding.write_shards(hot.repartition(n, "doc_id"), str(tmp_path / f"hot{n}"), bucket_bytes=4000))
+             .select("doc_id", "text", "shard", "bucket", "slot").collect() for n in (1, 7)]
+    of_hot = Counter(r["bucket"] for r in dealt[0] if r["doc_id"] == 7)
+    assert sum(of_hot.values()) == 1001 and len(of_hot) > 2 and max(of_hot.values()) <= 500 and len(dealt[0]) == 3000
+    assert sorted(dealt[0]) == sorted(dealt[1])  # whatever the partitions of the input
+
+
+def xxh64(*values):
+    """Spark's hash of a row of ints (32 bits), longs (pairs of value and 8) and strings."""
+    h = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else v[0].to_bytes(v[1], "little", signed=True) if isinstance(v, tuple) else v.to_bytes(4, "little", signed=True)
+        h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def test_shards_and_buckets_equal_a_plain_loop(spark, tmp_path):
+    rows = [(k, f"text {k % 90} " * (k % 7)) for k in range(400)] + [(5, "again")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    written = sharding.write_shards(docs, str(tmp_path / "p"), shards=5, bucket_bytes=1000)
+    buckets = math.ceil(sum(len(t.encode()) + 1 for _, t in rows) / 5 / 1000)
+    want = Counter()
+    for i, t in rows:
+        weights = [xxh64(sharding.SEED, s, (i, 8)) for s in range(5)]
+        want[i, t, weights.index(max(weights)), xxh64(sharding.SEED + 1, (xxh64((i, 8), t), 8), 0) % buckets] += 1
+    assert buckets > 1 and Counter((r["doc_id"], r["text"], r["shard"], r["bucket"]) for r in written.collect()) == want
 
 
 def test_sharding_of_nulls_and_nothing(spark, tmp_path):
