@@ -116,16 +116,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           max_rows: int = MAX_TRAINING_ROWS, epochs: int = EPOCHS, bits: int = BITS) -> Model:
     """Fit the model to labelled texts outside the held-out fold.
 
-    Ids with a null label or contradicting labels are left out; repeated texts of one id are
-    each learnt from. Without any labelled text the model is untrained.
+    Ids with a null label or contradicting labels are left out. Each id stands for one of its
+    texts, that with the smallest hash, so the sample is bounded however often an id repeats.
+    Without any labelled text the model is untrained.
     """
     key = quoted(id_col)
     sample = (labels.where(key.isNotNull() & ~is_held_out(key)).groupBy(key.alias("id"))
               .agg(F.min(quoted(label_col)).alias("label"), F.max(quoted(label_col)).alias("high"))
               .where("label = high AND label IN (0, 1)").select("id", F.col("label").cast("int").alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(max_rows))
-    rows = (docs.select(key.alias("id"), quoted(text_col).alias("text"))
-            .join(F.broadcast(sample), "id").select("id", "label", "text"))  # at most max_rows ids
+    texts = docs.select(key.alias("id"), quoted(text_col).alias("text")).join(F.broadcast(sample), "id")  # at most max_rows ids
+    rows = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict = {}
@@ -153,7 +154,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def add_score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with the double ``out`` from 0 to 1; null counts as empty; untrained: 0.5."""
+    """``docs`` with the double ``out`` from 0 to 1; null counts as empty; untrained: 0.5.
+
+    A column of that name is replaced; all other columns and every row, repeated or not, stay.
+    """
+    docs = docs.drop(out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # about 1 MB
 
@@ -175,7 +180,11 @@ def add_score(docs: DataFrame, model: Model, text_col: str = "text", out: str =
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      label_col: str = "quality", accept: float = ACCEPT) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts; all of them if no label could be learnt."""
+    """The rows of ``docs`` that the classifier accepts; all of them if no label could be learnt.
+
+    A null text is scored as an empty one, equal texts get equal scores, repeated rows stay
+    or go together, a score of exactly ``accept`` stays; all columns are kept, whatever their names.
+    """
     model = train(docs, labels, id_col, text_col, label_col)
     if not model.trained:
         return docs
