@@ -7,6 +7,8 @@ folder, so a lost executor repeats one round at most and lineage stays short.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,21 +16,25 @@ from ..storage import remove, scratch_path
 
 MAX_ROUNDS = 100
 
+#: Writes a table to the shared folder and reads it back.
+Store = Callable[[DataFrame], DataFrame]
+
 
-def _star(edges: DataFrame) -> DataFrame:
-    """For edges (src, dst): every src with the smallest of itself and its dsts."""
-    return edges.groupBy("src").agg(F.min("dst").alias("low")).select("src", F.least("src", "low").alias("low"))
+def _star(edges: DataFrame, store: Store) -> DataFrame:
+    """For edges (src, dst): every src with the smallest of itself and its dsts. It is stored, as
+    a join with an aggregate of the same stage cannot split the edges of a hub."""
+    return store(edges.groupBy("src").agg(F.min("dst").alias("low")).select("src", F.least("src", "low").alias("low")))
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, store: Store) -> DataFrame:
     both = edges.union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return (both.join(_star(both), "src").where(F.col("dst") > F.col("src"))
+    return (both.join(_star(both, store), "src").where(F.col("dst") > F.col("src"))
             .select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct())
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, store: Store) -> DataFrame:
     down = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).where("src <> dst")
-    low = _star(down)
+    low = _star(down, store)
     moved = down.join(low, "src").where("dst <> low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     return moved.union(low.select("src", F.col("low").alias("dst"))).where("src <> dst").distinct()
 
@@ -43,21 +49,26 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Nodes without an edge to another node do not appear; self loops and repeated edges
     are harmless, null ends are ignored, no edges give no rows.
     """
-    spark, path = edges.sparkSession, None
+    spark = edges.sparkSession
+    stored: list[str] = []
+
+    def store(df: DataFrame) -> DataFrame:
+        stored.append(scratch_path(spark, name))
+        df.write.parquet(stored[-1])
+        return spark.read.schema(df.schema).parquet(stored[-1])
 
     def write(df: DataFrame) -> DataFrame:
-        nonlocal path
-        old, path = path, scratch_path(spark, name)
-        df.write.parquet(path)
-        if old:
-            remove(spark, old)  # the round before is not needed any more
-        return spark.read.schema(df.schema).parquet(path)
+        out = store(df)
+        for path in stored[:-1]:  # the round before and its stars are not needed any more
+            remove(spark, path)
+        del stored[:-1]
+        return out
 
     now = write(edges.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst")
                       .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct())
     before = _digest(now)
     for _ in range(MAX_ROUNDS if before[0] else 0):
-        now = write(_small(_large(now)))
+        now = write(_small(_large(now, store), store))
         after = _digest(now)
         if after == before:
             break

@@ -65,7 +65,9 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def add_fingerprint(docs: DataFrame, text_col: str = "text", out: str = "fingerprint", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with the long column ``out``; a null text counts as empty."""
+    """``docs`` with the long column ``out``; a null text counts as empty; a column of that
+    name is replaced."""
+    docs = docs.drop(out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,6 +240,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = materialise(prints, "simhash-distinct")
     found = classes(prints.select("fp"), distance)
     lows = found.join(prints, "fp").groupBy("root").agg(F.min("low").alias("component"))
+    lows = materialise(lows, "simhash-lows")  # a stored side lets the join split a large component
     owner = found.join(lows, "root").select("fp", "component")
     return marked.join(owner, "fp").select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component")
 
