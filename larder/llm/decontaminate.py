@@ -1,15 +1,16 @@
 """Benchmark decontamination: passages against a BM25 index of test items.
 
 Every text is cut into overlapping passages and each passage is a query: which test items
-score at least ``threshold`` of their own score (BM25 of the item against itself)? A
-passage whose words' largest possible contributions cannot reach the threshold is skipped
-at once; the others go through block-max WAND over the items' posting lists, which finds
-all items above the threshold. Found items are verified: enough of the word n-grams of
+score at least ``threshold`` of their own score (BM25 of the item against itself)? Block-max
+WAND (Ding and Suel, 2011) moves a cursor over the posting list of each word of the query and
+finds all items above the threshold. Found items are verified: enough of the word n-grams of
 both the question and the answer must stand in the passage. An item is its text: its last
 sentence is the answer, what comes before is the question (one sentence: its two halves).
 
-The index holds at most ``INDEX_BYTES`` of item text; more items are searched in rounds,
-with word statistics over all items, and texts stream past one index after another.
+Items are kept by their length in powers of two, each class with passages of twice its
+longest length; what is found of an item does not depend on the lengths of others. Items of
+equal text are one item of the index. The index holds about ``INDEX_BYTES`` of item text; more
+items are searched in rounds, one after another, with word statistics over all items.
 """
 
 from __future__ import annotations
@@ -17,25 +18,27 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import reduce
-from itertools import repeat
+from itertools import chain, repeat
 from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import map_arrow, quoted, slices, table
+from .common import fresh, map_arrow, materialise, quoted, runs, slices, table
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.5
 NGRAM = 3
-PASSAGE_WORDS = 128
+#: Items of so many words or fewer are one class, the next classes reach twice as far each.
+CLASS_WORDS = 64
 BLOCK = 4
+#: Passages that are searched side by side.
+QUERIES = 1024
 INDEX_BYTES = 16 << 20
 
 _FOLD = bytes(b if b >= 0x80 or chr(b).isalnum() or b == 0x20 else 0x20 for b in range(256))
@@ -55,96 +58,127 @@ def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return whole[: (len(whole) + 1) // 2], whole[(len(whole) + 1) // 2:]
 
 
-def _ranges(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """All numbers of the half-open ranges, one range after another."""
-    sizes = ends - begins
-    return np.repeat(ends - np.cumsum(sizes), sizes) + np.arange(int(sizes.sum()))
-
-
 def _grams(seq: list[bytes], n: int) -> set[tuple[bytes, ...]]:
     return {tuple(seq[k: k + n]) for k in range(len(seq) - n + 1)}
 
 
 class Index:
-    """Posting lists of test items with contributions relative to each item's own score."""
+    """Posting lists of test items of one length class, with contributions relative to each
+    item's own score. Every list ends with a posting of no item that lies behind all others."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[bytes, int], n_items: int, mean_words: float):
-        self.ids, self.parts, lists = [], [], defaultdict(list)
-        self.longest = 0
-        for item_id, text in items:
+    def __init__(self, items: list[tuple[str, str]], df: dict[bytes, int], n_items: int, mean_words: float, longest: int = CLASS_WORDS):
+        self.length, self.keys, self.parts, lists = 2 * longest, [], [], defaultdict(list)
+        for key, text in items:
             tf = Counter(words(text))
-            if not tf:
-                continue
             size = sum(tf.values())
             part = {t: log(1 + (n_items - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * size / mean_words)) for t, c in tf.items()}
             own = sum(part.values())
             for t, x in part.items():
-                lists[t].append((len(self.ids), x / own))
-            self.ids.append(item_id)
+                lists[t].append((len(self.keys), x / own))
+            self.keys.append(key)
             self.parts.append([(n, _grams(p, n)) for p in question_answer(text) for n in (min(NGRAM, len(p)),) if n])
-            self.longest = max(self.longest, size)
+        self.n = len(self.keys)
         self.term = {t: k for k, t in enumerate(lists)}
         self.most = np.array([max(x for _, x in lists[t]) for t in self.term] + [0.0])  # the last one: words of no item
-        flat = [(k, d, x) for k, t in enumerate(self.term) for d, x in lists[t]]  # by word, then item
-        term, item, gain = (np.array(c) for c in zip(*flat, strict=True)) if flat else (np.zeros(0, dtype=np.int64),) * 3
-        cut = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (item[1:] // BLOCK != item[:-1] // BLOCK))) if flat else term
-        self.item, self.gain, self.items_from = item, gain, np.searchsorted(term, np.arange(len(self.most) + 1))
-        self.block, self.block_max = item[cut] // BLOCK, np.maximum.reduceat(gain, cut) if flat else gain
-        self.blocks_from = np.searchsorted(term[cut], np.arange(len(self.most) + 1))
-        self.block_items = np.append(cut, len(flat))  # a block's postings of one word
-
-    def search(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
-        """Block-max WAND: (item, score) of all items scoring ``threshold`` or more for the terms.
-
-        Items stand in blocks of ``BLOCK``, and each posting list knows its largest gain in each
-        block. The blocks whose summed maxima reach the threshold are the pivots; only their
-        postings are read and summed.
+        flat = [(k, d, x) for k, t in enumerate(self.term) for d, x in (*lists[t], (self.n, 0.0))] + [(len(lists), self.n, 0.0)]
+        term, self.item, self.gain = (np.array(c) for c in zip(*flat, strict=True))
+        self.key = term * (self.n + 1) + self.item  # ascending: by word, then item
+        self.start = np.searchsorted(term, np.arange(len(self.most)))
+        self.blocks = self.n // BLOCK + 1
+        at = term * self.blocks + self.item // BLOCK
+        cut = runs(at)
+        self.block, self.block_max = at[cut], np.maximum.reduceat(self.gain, cut)
+
+    def search(self, terms: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Block-max WAND for several queries at once: (query, item, score) of all items that
+        score ``threshold`` or more. A row of ``terms`` is a query: different words, filled up
+        with the word of no item.
+
+        One step of a query: its cursors stand in the order of their items, and the first at
+        which the lists' largest gains add up to the threshold marks the pivot, as no item before
+        can reach it. Do the largest gains within the pivot's blocks reach it too, the cursors
+        before move to the pivot and it is scored; else they skip to the end of the block or to
+        the next cursor's item, whichever comes first.
         """
-        floor = threshold - 1e-9
-        at = _ranges(self.blocks_from[terms], self.blocks_from[terms + 1])
-        bound = np.bincount(self.block[at], weights=self.block_max[at])
-        pivots = bound >= floor
-        if not pivots.any():
-            return []
-        at = at[pivots[self.block[at]]]
-        at = _ranges(self.block_items[at], self.block_items[at + 1])
-        score = np.bincount(self.item[at], weights=self.gain[at])
-        return [(k, float(score[k])) for k in np.flatnonzero(score >= floor).tolist()]
+        floor, found = threshold - 1e-9, []
+        query = np.flatnonzero(self.most[terms].sum(axis=1) >= floor)
+        terms = terms[query]
+        at = self.start[terms]
+        while len(query):
+            item = self.item[at]
+            order = np.argsort(item, axis=1)
+            sorted_ = np.take_along_axis(item, order, axis=1)
+            reach = np.cumsum(np.take_along_axis(np.where(item < self.n, self.most[terms], 0.0), order, axis=1), axis=1) >= floor
+            go = reach[:, -1]
+            if not go.all():  # no pivot is left in these queries
+                query, terms, at, item, sorted_, reach = (x[go] for x in (query, terms, at, item, sorted_, reach))
+                if not len(query):
+                    break
+            pivot = np.take_along_axis(sorted_, np.argmax(reach, axis=1)[:, None], axis=1)
+            row, col = np.nonzero(item <= pivot)
+            term, here = terms[row, col], pivot[row, 0]
+            block = term * self.blocks + here // BLOCK
+            spot = np.minimum(np.searchsorted(self.block, block), len(self.block) - 1)
+            bound = np.bincount(row, np.where(self.block[spot] == block, self.block_max[spot], 0.0), len(query)) >= floor
+            behind = np.where(item > pivot, item, self.n).min(axis=1)
+            target = np.where(bound, pivot[:, 0], np.minimum(behind, (pivot[:, 0] // BLOCK + 1) * BLOCK))
+            to = np.searchsorted(self.key, term * (self.n + 1) + np.minimum(target[row], self.n))
+            on = bound[row] & (self.item[to] == here)
+            score = np.bincount(row, np.where(on, self.gain[to], 0.0), len(query))
+            at[row, col] = to + on  # past the pivot that was scored
+            hit = np.flatnonzero(bound & (score >= floor))
+            found.append((query[hit], pivot[hit, 0], score[hit]))
+        if not found:
+            return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0),)
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
     def overlaps(self, item: int, passage: list[bytes]) -> tuple[float, float]:
         """Shares of the question's and the answer's n-grams in the passage."""
         shares = [len(grams & _grams(passage, n)) / len(grams) for n, grams in self.parts[item]]
         return shares[0], shares[-1]
 
-    def leaks(self, text: str, threshold: float, overlap: float) -> dict[int, tuple[int, float, float, float]]:
-        """item -> (first word of its best passage, score, question share, answer share)."""
-        seq = words(text)
-        if not seq or not self.ids:
-            return {}
-        none = len(self.term)
-        terms = np.fromiter(map(self.term.get, seq, repeat(none)), dtype=np.int64, count=len(seq))
-        length = max(PASSAGE_WORDS, 2 * self.longest)
-        step = length // 2
-        total = np.append(0.0, np.cumsum(self.most[terms]))
-        begins = np.arange(0, max(1, len(seq) - length + step), step)
-        bound = total[np.minimum(begins + length, len(seq))] - total[begins]  # repeats count: still a bound
-        out: dict[int, tuple[int, float, float, float]] = {}
-        for begin in begins[bound >= threshold].tolist():
-            own = np.unique(terms[begin: begin + length])
-            passage = None
-            for item, score in self.search(own[own < none], threshold):
-                if item in out and out[item][1] >= score:
+    def leaks(self, texts: list[list[bytes]], threshold: float, overlap: float) -> dict[tuple[int, str], tuple[int, float, float, float]]:
+        """(text, item) -> (first word of its best passage, score, question share, answer share)."""
+        none, length, step = len(self.term), self.length, self.length // 2
+        spots = [(k, b) for k, seq in enumerate(texts) for b in range(0, max(1, len(seq) - length + step), step) if seq]
+        flat = np.fromiter(map(self.term.get, chain.from_iterable(texts), repeat(none)), dtype=np.int64)
+        ends = np.cumsum([len(seq) for seq in texts])
+        out: dict[tuple[int, str], tuple[int, float, float, float]] = {}
+        for lo in range(0, len(spots), QUERIES):
+            some = np.array(spots[lo: lo + QUERIES])
+            till = ends[some[:, 0]]
+            begin = till - np.array([len(texts[k]) for k in some[:, 0]]) + some[:, 1]
+            places = begin[:, None] + np.arange(length)
+            terms = np.where(places < till[:, None], flat[np.minimum(places, len(flat) - 1)], none)
+            terms.sort(axis=1)
+            terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = none
+            terms.sort(axis=1)
+            wide = int((terms < none).sum(axis=1).max())
+            for q, item, score in sorted(zip(*(c.tolist() for c in self.search(terms[:, :wide], threshold)), strict=True)):
+                k, b = spots[lo + q]
+                at = (k, self.keys[item])
+                if at in out and out[at][1] >= score:
                     continue
-                passage = passage or seq[begin: begin + length]
-                question, answer = self.overlaps(item, passage)
+                question, answer = self.overlaps(item, texts[k][b: b + length])
                 if question >= overlap and answer >= overlap:
-                    out[item] = (begin, score, question, answer)
+                    out[at] = (b, score, question, answer)
         return out
 
 
-def build_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", index_bytes: int = INDEX_BYTES) -> Iterator[Index]:
-    """Indexes of bounded size that cover all items; items without a word are in none."""
-    base = items.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).where("text IS NOT NULL")
+def _leaks(indexes: list[Index], texts: list[str | None], threshold: float, overlap: float) -> dict[tuple[int, str], tuple[int, float, float, float]]:
+    seqs = [words(t or "") for t in texts]
+    return {at: hit for index in indexes for at, hit in index.leaks(seqs, threshold, overlap).items()}
+
+
+def _item_key(text: Column) -> Column:
+    return F.md5(text.cast("binary"))
+
+
+def build_indexes(items: DataFrame, text_col: str = "text", index_bytes: int = INDEX_BYTES) -> Iterator[list[Index]]:
+    """Rounds of bounded size that cover all different item texts, each with an index for every
+    length class; items without a word are in none."""
+    text = quoted(text_col)
+    base = items.where(text.isNotNull()).select(text.alias("text")).distinct()
     rounds = ceil((base.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / index_bytes)
     if not rounds:
         return
@@ -161,19 +195,36 @@ def build_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "te
         df[b" "] = size  # and the words of all
         yield pa.RecordBatch.from_arrays([pa.array(list(df), pa.binary()), pa.array(list(df.values()), pa.int64())], names=["word", "n"])
 
-    counts = map_arrow(base.select("text"), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = map_arrow(base, count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    if rounds > 1:
+        counts = materialise(counts, "decontaminate-words")
     total = {bytes(r["word"]): r["n"] for r in counts.where("word IN (X'', X'20')").collect()}
     if not total.get(b""):
         return
     for k in range(rounds):
-        rows = [(r["id"], r["text"]) for r in base.where(F.pmod(F.xxhash64("id", "text"), F.lit(rounds)) == k).collect()]  # index_bytes or so
-        vocabulary = {w for _, t in rows for w in words(t)}
+        rows = base.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select(_item_key(F.col("text")).alias("key"), "text").collect()  # index_bytes or so
+        classes = defaultdict(list)
+        vocabulary: set[bytes] = set()
+        for r in sorted(rows):
+            if w := words(r["text"]):
+                classes[CLASS_WORDS << max(0, (len(w) - 1) // CLASS_WORDS).bit_length()].append((r["key"], r["text"]))
+                vocabulary.update(w)
         if rounds == 1:
             df = {bytes(r["word"]): r["n"] for r in counts.collect()}
         else:
             mine = items.sparkSession.createDataFrame([(bytearray(w),) for w in vocabulary], "word binary")
             df = {bytes(r["word"]): r["n"] for r in counts.join(mine, "word", "left_semi").collect()}
-        yield Index(sorted(rows, key=lambda r: (r[0] is None, r[0], r[1])), df, total[b""], total[b" "] / total[b""])
+        yield [Index(classes[c], df, total[b""], total[b" "] / total[b""], c) for c in sorted(classes)]
+
+
+def _rounds(items: DataFrame, text_col: str) -> Iterator[tuple[Broadcast, bool]]:
+    """Each round's indexes, broadcast, and whether it is the last one."""
+    spark, rounds = items.sparkSession, build_indexes(items, text_col)
+    now = next(rounds, None)
+    while now is not None:
+        later = next(rounds, None)
+        yield spark.sparkContext.broadcast(now), later is None
+        now = later
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -181,48 +232,62 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """(id, item, first_word, score, question_overlap, answer_overlap): one row for each row of
     ``docs`` and item found in it, with the passage of the best score.
 
-    Null and empty texts hold no item; repeated rows and repeated items are all reported;
-    without items there are no rows.
+    Null and empty texts hold no item; repeated rows and repeated items are all reported, ties
+    between passages go to the first; without items there are no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     base = docs.select(quoted(id_col).alias(id_col), quoted(text_col).alias("text"))
-    schema = T.StructType([docs.schema[id_col], T.StructField("item_id", items.schema[item_col].dataType), T.StructField("first_word", T.LongType()),
-                           *[T.StructField(c, T.DoubleType()) for c in ("score", "question_overlap", "answer_overlap")]])
+    key = fresh([id_col], "__item")
+    measures = [T.StructField("first_word", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("score", "question_overlap", "answer_overlap")]]
+    schema = T.StructType([docs.schema[id_col], T.StructField(key, T.StringType()), *measures])
+    names = schema.names
 
     def search(shared) -> DataFrame:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+            indexes = shared.value
             for batch in batches:
                 for part in slices(batch, "text"):
-                    rows, hits = [], []
-                    for k, t in enumerate(part.column("text").to_pylist()):
-                        for item, hit in sorted(index.leaks(t or "", threshold, overlap).items()):
-                            rows.append(k)
-                            hits.append((index.ids[item], *hit))
-                    if rows:
-                        kinds = (item_type, pa.int64(), pa.float64(), pa.float64(), pa.float64())
-                        yield pa.RecordBatch.from_arrays([part.column(id_col).take(pa.array(rows)), *(pa.array(c, t) for c, t in zip(zip(*hits, strict=True), kinds, strict=True))],
-                                                         names=schema.names)
+                    found = sorted(_leaks(indexes, part.column("text").to_pylist(), threshold, overlap).items())
+                    if found:
+                        hits = zip(*((item, *hit) for (_, item), hit in found), strict=True)
+                        kinds = (pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+                        yield pa.RecordBatch.from_arrays([part.column(id_col).take(pa.array([k for (k, _), _ in found])),
+                                                          *(pa.array(c, t) for c, t in zip(hits, kinds, strict=True))], names=names)
         return map_arrow(base, work, schema)
 
-    item_type = to_arrow_type(items.schema[item_col].dataType)
-    found = [search(spark.sparkContext.broadcast(i)) for i in build_indexes(items, item_col, item_text_col)]
-    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], schema)
+    found = None
+    for shared, last in _rounds(items, item_text_col):
+        now = search(shared)
+        if not last or found is not None:  # several rounds: each is written before the next index is sent
+            now = materialise(now, "decontaminate-found")
+            shared.unpersist()
+        found = now if found is None else found.union(now)
+    if found is None:
+        found = spark.createDataFrame([], schema)
+    owners = items.where(quoted(item_text_col).isNotNull()).select(_item_key(quoted(item_text_col)).alias(key), quoted(item_col).alias("item_id"))
+    return found.join(owners, key).select(found[id_col], owners["item_id"], *[found[f.name] for f in measures])
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """The rows of ``docs`` that hold no test item; all columns stay."""
-    for index in build_indexes(items, item_col, item_text_col):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
+    """The rows of ``docs`` that hold no test item; all columns stay, whatever their names.
 
+    Null and empty texts hold none and stay, equal rows stay or go together, a share of exactly
+    ``overlap`` is a leak; without items, or with items that have no word, all rows stay.
+    """
+    rounds = 0
+    for shared, last in _rounds(items, item_text_col):
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, text_col):
-                    clean = [not shared.value.leaks(t or "", threshold, overlap) for t in part.column(text_col).to_pylist()]
-                    yield part.filter(pa.array(clean))
+                    found = {k for k, _ in _leaks(shared.value, part.column(text_col).to_pylist(), threshold, overlap)}
+                    yield part.filter(pa.array([k not in found for k in range(part.num_rows)]))
 
         docs = map_arrow(docs, work, docs.schema)
+        rounds += 1
+        if not last or rounds > 1:
+            docs = materialise(docs, "decontaminate-kept")
+            shared.unpersist()
     return docs
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,33 @@ def labelled(spark, n=400, seed=4):
     return helpers.documents(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), dict((a, b) for a, b, _ in labels)
 
 
+def test_training_equals_a_plain_loop():
+    """FTRL-proximal, a coordinate at a time, against the vectors of the operator."""
+    rng = random.Random(5)
+    model, z, n = quality.Ftrl(4), [0.0] * 17, [0.0] * 17
+    for _ in range(60):
+        ids, label = [rng.randrange(16) for _ in range(rng.randrange(0, 30))], rng.randrange(2)
+        model.learn(np.array(ids, dtype=np.int64), label)
+        x = {i: ids.count(i) * quality.SCALE / len(ids) for i in ids} | {16: 1.0}
+        w = {i: 0.0 if abs(z[i]) <= quality.L1 else -(z[i] - math.copysign(quality.L1, z[i])) / ((quality.BETA + n[i] ** 0.5) / quality.ALPHA + quality.L2) for i in x}
+        p = 1 / (1 + math.exp(-sum(w[i] * x[i] for i in x)))
+        for i in x:
+            g = (p - label) * x[i]
+            sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / quality.ALPHA
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+    assert np.allclose(model.z, z) and np.allclose(model.n, n)
+
+
+def test_classifier_learns_one_text_of_an_id_and_replaces_a_score(spark):
+    docs, labels, _ = labelled(spark, 100)
+    crowd = docs.where("doc_id = 3").select(docs.columns[0], F.lit("zzz " * 30).alias("text"), *docs.columns[2:])
+    crowd = crowd.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.lit(200)))).select(*docs.columns)
+    once, often = (quality.train(docs.where("doc_id <> 3").union(crowd.limit(n)), labels) for n in (1, 200))
+    assert once == often
+    assert quality.add_score(docs, once).columns.count("score") == 1
+
+
 def test_classifier_holds_out_a_fold_and_learns(spark):
     docs, labels, truth = labelled(spark)
     model = quality.train(docs, labels)
@@ -125,31 +154,50 @@ def test_question_without_its_answer_is_no_leak(spark):
     assert decontaminate.find_leaks(helpers.documents(spark, [question + " other words follow here"]), table).count() == 0
 
 
-def test_items_in_rounds_give_the_same_rows(spark, monkeypatch):
-    texts, table = items(spark)
-    df = helpers.documents(spark, texts + helpers.awkward_texts())
-    key = lambda d: sorted((r["doc_id"], r["item_id"], r["first_word"], round(r["score"], 9)) for r in d.collect())
-    whole = key(decontaminate.find_leaks(df, table))
-    monkeypatch.setattr(decontaminate.build_indexes, "__defaults__", ("item_id", "text", 4000))
-    assert key(decontaminate.find_leaks(df, table)) == whole and len(whole) >= len(texts)
+def found(df, table):
+    return sorted((r["doc_id"], r["item_id"], r["first_word"], round(r["score"], 9)) for r in decontaminate.find_leaks(df, table).collect())
 
 
-def test_block_max_search_equals_all_scores():
+def test_items_in_rounds_and_of_any_length_give_the_same_rows(spark, monkeypatch):
+    texts, table = items(spark)
+    rng = random.Random(11)
+    long = [helpers.prose(rng, n, 3000) + ". " + helpers.prose(rng, 9, 3000) + "." for n in (64, 150, 400, 900)]
+    docs = helpers.documents(spark, texts + helpers.awkward_texts() + [helpers.prose(rng, 500, 3000) + " " + t + " " + helpers.prose(rng, 70, 3000) for t in long + texts[:4]])
+    short = found(docs, table)
+    both = table.union(spark.createDataFrame([(100 + k, t) for k, t in enumerate(long)], "item_id long, text string"))
+    whole = found(docs, both)
+    assert {(d, i) for d, i, _, _ in whole} == {(d, i) for d, i, _, _ in short} | {(len(texts) + len(helpers.awkward_texts()) + k, 100 + k) for k in range(4)}
+    assert {x[:3] for x in whole if x[1] < 100} == {x[:3] for x in short}  # long items do not widen the passages of others
+    clean = sorted(r["doc_id"] for r in decontaminate.drop_leaks(docs, both).collect())
+    monkeypatch.setattr(decontaminate.build_indexes, "__defaults__", ("text", 4000))
+    assert found(docs, both) == whole
+    assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(docs, both).collect()) == clean == sorted(set(range(docs.count())) - {d for d, *_ in whole})
+
+
+def test_items_of_equal_text_are_all_reported(spark):
+    texts, table = items(spark, 6)
+    docs = helpers.documents(spark, [*texts, "no item"])
+    copies = table.union(spark.createDataFrame([(50 + k, texts[2]) for k in range(20)] + [(None, texts[3])], "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, copies).collect()} == {
+        *((k, k) for k in range(6)), *((2, 50 + k) for k in range(20)), (3, None)}
+
+
+@pytest.mark.parametrize("threshold", [0.02, 0.2, 0.5])
+def test_block_max_search_equals_all_scores(threshold):
     rng = random.Random(1)
     texts = [helpers.prose(rng, rng.randrange(1, 40), 60) for _ in range(70)]
     df = {}
     for t in texts:
         for w in set(decontaminate.words(t)):
             df[w] = df.get(w, 0) + 1
-    index = decontaminate.Index(list(enumerate(texts)), df, 70, 20.0)
-    import numpy as np
-    for _ in range(50):
-        own = np.array(sorted(rng.sample(range(len(index.term)), 25)))
-        scores = [sum(index.gain[k] for k in range(len(index.item)) if index.item[k] == i and any(
-            index.items_from[t] <= k < index.items_from[t + 1] for t in own)) for i in range(70)]
-        got = index.search(own, 0.5)
-        assert [i for i, _ in got] == [i for i, s in enumerate(scores) if s >= 0.5 - 1e-9]
-        assert all(abs(s - scores[i]) < 1e-9 for i, s in got)
+    index = decontaminate.Index([(str(k), t) for k, t in enumerate(texts)], df, 70, 20.0)
+    none = len(index.term)
+    queries = [rng.sample(range(none), rng.randrange(0, 26)) for _ in range(50)]
+    scores = [[sum(index.gain[k] for t in q for k in range(index.start[t], index.start[t + 1]) if index.item[k] == i) for i in range(70)] for q in queries]
+    terms = np.array([q + [none] * (26 - len(q)) for q in queries])
+    got = {(q, i): s for q, i, s in zip(*(c.tolist() for c in index.search(terms, threshold)), strict=True)}
+    assert set(got) == {(q, i) for q in range(50) for i in range(70) if scores[q][i] >= threshold - 1e-9} and len(got) > 20
+    assert all(abs(s - scores[q][i]) < 1e-9 for (q, i), s in got.items())
 
 
 def test_no_items_and_no_texts(spark):
