@@ -84,10 +84,10 @@ class Index:
         term, self.item, self.gain = (np.array(c) for c in zip(*flat, strict=True))
         self.key = term * (self.n + 1) + self.item  # ascending: by word, then item
         self.start = np.searchsorted(term, np.arange(len(self.most)))
-        self.blocks = self.n // BLOCK + 1
-        at = term * self.blocks + self.item // BLOCK
-        cut = runs(at)
-        self.block, self.block_max = at[cut], np.maximum.reduceat(self.gain, cut)
+        cut = runs(term, self.item // BLOCK)
+        size = np.diff(np.append(cut, len(term)))
+        self.block_max = np.repeat(np.maximum.reduceat(self.gain, cut), size)  # of the posting's block in its list
+        self.after = np.minimum(np.repeat(cut + size, size), np.append(self.start[1:], len(term))[term] - 1)  # the list's next block
 
     def search(self, terms: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Block-max WAND for several queries at once: (query, item, score) of all items that
@@ -95,39 +95,46 @@ class Index:
         with the word of no item.
 
         One step of a query: its cursors stand in the order of their items, and the first at
-        which the lists' largest gains add up to the threshold marks the pivot, as no item before
-        can reach it. Do the largest gains within the pivot's blocks reach it too, the cursors
-        before move to the pivot and it is scored; else they skip to the end of the block or to
-        the next cursor's item, whichever comes first.
+        which the lists' largest gains add up to the threshold marks the pivot. No item before it
+        can reach the threshold, so the cursors before move to it. Do the largest gains of the
+        blocks they stand in reach the threshold too, the pivot is scored; else the cursors skip
+        to the end of the block or to the next cursor's item, whichever comes first.
         """
         floor, found = threshold - 1e-9, []
-        query = np.flatnonzero(self.most[terms].sum(axis=1) >= floor)
-        terms = terms[query]
+        most = self.most[terms]
+        query = np.flatnonzero(most.sum(axis=1) >= floor)
+        terms, most = terms[query], most[query]
         at = self.start[terms]
         while len(query):
             item = self.item[at]
+            most[item == self.n] = 0.0  # lists at their end
             order = np.argsort(item, axis=1)
-            sorted_ = np.take_along_axis(item, order, axis=1)
-            reach = np.cumsum(np.take_along_axis(np.where(item < self.n, self.most[terms], 0.0), order, axis=1), axis=1) >= floor
+            lines = np.arange(len(query))[:, None]
+            reach = np.cumsum(most[lines, order], axis=1) >= floor
             go = reach[:, -1]
+            pivot = item[lines[:, 0], order[lines[:, 0], np.argmax(reach, axis=1)]]
             if not go.all():  # no pivot is left in these queries
-                query, terms, at, item, sorted_, reach = (x[go] for x in (query, terms, at, item, sorted_, reach))
+                query, terms, most, at, item, pivot = (x[go] for x in (query, terms, most, at, item, pivot))
                 if not len(query):
                     break
-            pivot = np.take_along_axis(sorted_, np.argmax(reach, axis=1)[:, None], axis=1)
-            row, col = np.nonzero(item <= pivot)
-            term, here = terms[row, col], pivot[row, 0]
-            block = term * self.blocks + here // BLOCK
-            spot = np.minimum(np.searchsorted(self.block, block), len(self.block) - 1)
-            bound = np.bincount(row, np.where(self.block[spot] == block, self.block_max[spot], 0.0), len(query)) >= floor
-            behind = np.where(item > pivot, item, self.n).min(axis=1)
-            target = np.where(bound, pivot[:, 0], np.minimum(behind, (pivot[:, 0] // BLOCK + 1) * BLOCK))
-            to = np.searchsorted(self.key, term * (self.n + 1) + np.minimum(target[row], self.n))
-            on = bound[row] & (self.item[to] == here)
-            score = np.bincount(row, np.where(on, self.gain[to], 0.0), len(query))
-            at[row, col] = to + on  # past the pivot that was scored
+            row, col = np.nonzero(item <= pivot[:, None])
+            to, here = at[row, col], pivot[row]
+            late = np.flatnonzero(self.item[to] < here)
+            to[late] = np.searchsorted(self.key, terms[row[late], col[late]] * (self.n + 1) + here[late])
+            there, end = self.item[to], np.minimum((pivot // BLOCK + 1) * BLOCK, self.n)
+            bound = np.bincount(row, np.where(there < end[row], self.block_max[to], 0.0), len(query)) >= floor
+            on = bound[row] & (there == here)
+            score = np.bincount(row[on], self.gain[to[on]], len(query))
             hit = np.flatnonzero(bound & (score >= floor))
-            found.append((query[hit], pivot[hit, 0], score[hit]))
+            found.append((query[hit], pivot[hit], score[hit]))
+            to += on  # past the pivot that was scored
+            target = np.where(bound, 0, np.minimum(np.where(item > pivot[:, None], item, self.n).min(axis=1), end))
+            skip = np.flatnonzero(there < target[row])
+            whole = target[row[skip]] == end[row[skip]]
+            to[skip[whole]] = self.after[to[skip[whole]]]
+            part = skip[~whole]
+            to[part] = np.searchsorted(self.key, terms[row[part], col[part]] * (self.n + 1) + target[row[part]])
+            at[row, col] = to
         if not found:
             return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0),)
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
