@@ -109,32 +109,37 @@ class Index:
             item = self.item[at]
             most[item == self.n] = 0.0  # lists at their end
             order = np.argsort(item, axis=1)
-            lines = np.arange(len(query))[:, None]
-            reach = np.cumsum(most[lines, order], axis=1) >= floor
+            lines = np.arange(len(query))
+            reach = np.cumsum(most[lines[:, None], order], axis=1) >= floor
             go = reach[:, -1]
-            pivot = item[lines[:, 0], order[lines[:, 0], np.argmax(reach, axis=1)]]
-            if not go.all():  # no pivot is left in these queries
-                query, terms, most, at, item, pivot = (x[go] for x in (query, terms, most, at, item, pivot))
-                if not len(query):
-                    break
-            row, col = np.nonzero(item <= pivot[:, None])
-            to, here = at[row, col], pivot[row]
-            late = np.flatnonzero(self.item[to] < here)
-            to[late] = np.searchsorted(self.key, terms[row[late], col[late]] * (self.n + 1) + here[late])
+            left = np.count_nonzero(go)
+            if 4 * left < 3 * len(go):  # queries without a pivot are done
+                query, terms, most, at = (x[go] for x in (query, terms, most, at))
+                if left:
+                    continue
+                break
+            pivot = np.where(go, item[lines, order[lines, np.argmax(reach, axis=1)]], -1)
+            ahead = item > pivot[:, None]
+            cell = np.flatnonzero(~ahead)
+            row = cell // at.shape[1]
+            to, here, term = at.ravel()[cell], pivot[row], terms.ravel()[cell] * (self.n + 1)
+            late = np.flatnonzero(item.ravel()[cell] < here)
+            to[late] = np.searchsorted(self.key, term[late] + here[late])
             there, end = self.item[to], np.minimum((pivot // BLOCK + 1) * BLOCK, self.n)
-            bound = np.bincount(row, np.where(there < end[row], self.block_max[to], 0.0), len(query)) >= floor
+            bound = np.bincount(row, self.block_max[to] * (there < end[row]), len(query)) >= floor
             on = bound[row] & (there == here)
-            score = np.bincount(row[on], self.gain[to[on]], len(query))
-            hit = np.flatnonzero(bound & (score >= floor))
-            found.append((query[hit], pivot[hit], score[hit]))
-            to += on  # past the pivot that was scored
-            target = np.where(bound, 0, np.minimum(np.where(item > pivot[:, None], item, self.n).min(axis=1), end))
+            if on.any():
+                score = np.bincount(row[on], self.gain[to[on]], len(query))
+                hit = np.flatnonzero(bound & (score >= floor))
+                found.append((query[hit], pivot[hit], score[hit]))
+                to += on  # past the pivot that was scored
+            target = np.where(bound, 0, np.minimum(np.where(ahead, item, self.n).min(axis=1), end))
             skip = np.flatnonzero(there < target[row])
             whole = target[row[skip]] == end[row[skip]]
             to[skip[whole]] = self.after[to[skip[whole]]]
             part = skip[~whole]
-            to[part] = np.searchsorted(self.key, terms[row[part], col[part]] * (self.n + 1) + target[row[part]])
-            at[row, col] = to
+            to[part] = np.searchsorted(self.key, term[part] + target[row[part]])
+            at.ravel()[cell] = to
         if not found:
             return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0),)
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
