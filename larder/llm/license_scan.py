@@ -1,12 +1,19 @@
-"""License scan: an exact set-similarity join of text lines with license templates.
+"""License scan: an exact set-similarity join of text blocks with license templates.
 
-A line contains a template if at least ``threshold`` of the template's distinct words are in
-the line. Words are ordered by their frequency in the whole corpus, rarest first; only
-template words matter, as no other word can overlap. A pair of line and template that
-meets the threshold shares ``need = ceil(threshold * |template|)`` words, so
+Blocks are windows of a text's words, wherever its lines and paragraphs end: for a template
+of up to ``0.8 * span`` words they are ``2 * span`` words long and start every ``span`` words,
+for the smallest such span of 24, 96, 384, ... Any ``span`` consecutive words stand whole in
+one of them, so a notice is found however it is wrapped, quoted as a comment or joined to
+other text, and a long line does not gather a template from words far apart.
+
+A block contains a template if at least ``threshold`` of the template's distinct words are in
+it, among them those that name the license, where the template has them. Words are ordered by
+their frequency in the whole corpus, rarest first; only template words matter, as no other
+word can overlap. A pair of block and template that meets the threshold shares
+``need = ceil(threshold * |template|)`` words, so
 
 * prefix filter: they share one of the first ``|x| - need + 1`` words of both sides,
-* length filter: the line has ``need`` template words at least,
+* length filter: the block has ``need`` template words at least,
 * positional filter: the words before, at and after a shared word leave room for ``need``.
 
 Pairs that pass are verified by counting the overlap. Templates are a parameter of fixed
@@ -20,12 +27,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Mapping
 from math import ceil
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_arrow, materialise, quoted, slices, table, utf8
+from .license_texts import NAMES, NOTICES, TEXTS
 
 #: Fixed phrases and their labels.
 PHRASES = {
@@ -34,36 +43,15 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Fixed texts: license notices and the openings of license texts, by label.
-TEMPLATES = {
-    "mit": (
-        "Released under the MIT License",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-    ),
-    "apache-2": (
-        "Licensed under the Apache License, Version 2.0",
-        "you may not use this file except in compliance with the License",
-    ),
-    "cc-by-nc": (
-        "Licensed under CC BY-NC 4.0",
-        "This work is licensed under a Creative Commons Attribution NonCommercial International License",
-    ),
-    "gpl-3": (
-        "This work is licensed under the GNU General Public License, version 3",
-        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    ),
-    "bsd": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    ),
-    "mpl-2": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License",
-    ),
-}
+#: Notices and whole license texts, by label.
+TEMPLATES = {label: NOTICES.get(label, ()) + TEXTS.get(label, ()) for label in sorted({*NOTICES, *TEXTS})}
 THRESHOLD = 0.8
+#: Smallest span, the factor to the next one, and the share of a span that a template may take.
+SPAN, SPAN_FACTOR, SPAN_FILL = 24, 4, 0.8
 
 _WORD = [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]
-#: Bytes of words (A-Z lower-cased) and line ends stay, all others become blanks.
-_FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _WORD or b == 0x0A else 0x20 for b in range(256))
+#: Bytes of words (A-Z lower-cased) stay, all others become blanks.
+_FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _WORD else 0x20 for b in range(256))
 
 
 def words(text: bytes) -> list[bytes]:
@@ -71,8 +59,27 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-def template_sets(templates: Mapping[str, tuple[str, ...]]) -> list[tuple[str, frozenset[bytes]]]:
-    return [(label, frozenset(words(t.encode()))) for label, texts in templates.items() for t in texts]
+class Template(NamedTuple):
+    label: str
+    words: frozenset[bytes]
+    required: frozenset[bytes]
+    span: int
+
+
+def template_sets(templates: Mapping[str, tuple[str, ...]], names: Mapping[str, str]) -> list[Template]:
+    found = []
+    for label, texts in templates.items():
+        for t in texts:
+            seq, span = words(t.encode()), SPAN
+            while SPAN_FILL * span < len(seq):
+                span *= SPAN_FACTOR
+            found.append(Template(label, frozenset(seq), frozenset(seq) & frozenset(words(names.get(label, "").encode())), span))
+    return found
+
+
+def block_starts(n: int, span: int) -> range:
+    """First words of the blocks of a text of ``n`` words."""
+    return range(0, max(n - span, 1), span) if n else range(0)
 
 
 def token_frequencies(docs: DataFrame, text_col: str, tokens: frozenset[bytes]) -> dict[bytes, int]:
@@ -107,22 +114,26 @@ def _phrase_hits(text: list[bytes], phrases: Mapping[bytes, str]) -> tuple[int,
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
-         phrases: Mapping[str, str] = PHRASES, threshold: float = THRESHOLD) -> DataFrame:
+         phrases: Mapping[str, str] = PHRASES, threshold: float = THRESHOLD, names: Mapping[str, str] = NAMES) -> DataFrame:
     """Phrase places, template labels and score for each row of ``docs``.
 
     ``score`` is 1 if a phrase stands in the text, else the largest containment of a template
-    in one line among those found, else 0. A null text has no words; repeated rows come back
-    as often; an empty table gives no rows; other columns are not read.
+    in one block among those found, else 0; ``n_template_blocks`` counts the blocks that hold
+    a template. A null text has no words; repeated rows come back as often; an empty table
+    gives no rows; other columns are not read.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must lie in (0, 1]")
-    sets = template_sets(templates)
-    vocabulary = frozenset().union(*(s for _, s in sets))
+    sets = template_sets(templates, names)
+    vocabulary = frozenset().union(*(t.words for t in sets))
     seen = token_frequencies(docs, text_col, vocabulary)
     rank = {t: k for k, t in enumerate(sorted(vocabulary, key=lambda t: (seen[t], t)))}
-    ordered = [(label, sorted(rank[t] for t in s), ceil(threshold * len(s) - 1e-9)) for label, s in sets]
-    starters = frozenset(t for t, k in rank.items() if any(k in r[: len(r) - need + 1] for _, r, need in ordered))
-    least = min(need for _, _, need in ordered)
+    ordered = [(t, sorted(rank[w] for w in t.words), ceil(threshold * len(t.words) - 1e-9)) for t in sets]
+    classes = []  # (span, words, prefix words, least overlap) of the templates of each span
+    for span in sorted({t.span for t in sets}):
+        mine = [(t.words, frozenset(r[: len(r) - need + 1]), need) for t, r, need in ordered if t.span == span]
+        of_span, prefix = (frozenset().union(*part) for part in list(zip(*mine, strict=True))[:2])
+        classes.append((span, of_span, frozenset(w for w in of_span if rank[w] in prefix), min(need for *_, need in mine)))
     wanted = {b" " + b" ".join(words(p.encode())) + b" ": label for p, label in phrases.items()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,48 +141,52 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
             for part in slices(batch, "text"):
                 rows = []
                 for t in utf8(part.column("text")):
-                    folded = t.translate(_FOLD)
-                    found = folded.split()
-                    lines = []
-                    if not starters.isdisjoint(found):
-                        for k, line in enumerate(folded.split(b"\n")):
-                            inside = vocabulary.intersection(line.split())
-                            if len(inside) >= least and not starters.isdisjoint(inside):
-                                lines.append({"line": k, "ranks": sorted(rank[x] for x in inside)})
+                    found = words(t)
+                    distinct, blocks = frozenset(found), []
+                    for span, of_span, prefix, least in classes:
+                        if prefix.isdisjoint(distinct):
+                            continue
+                        for a in block_starts(len(found), span):
+                            inside = of_span.intersection(found[a: a + 2 * span])
+                            if len(inside) >= least and not prefix.isdisjoint(inside):
+                                blocks.append({"span": span, "start": a, "ranks": sorted(rank[x] for x in inside)})
                     n, first, last, labels = _phrase_hits(found, wanted)
-                    rows.append((len(found), n, first, last, labels, lines))
+                    rows.append((len(found), n, first, last, labels, blocks))
                 cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64()] * 4 + [pa.list_(pa.string()), pa.list_(pa.struct([("line", pa.int32()), ("ranks", pa.list_(pa.int32()))]))]
-                yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names)
+                block = pa.struct([("span", pa.int32()), ("start", pa.int64()), ("ranks", pa.list_(pa.int32()))])
+                kinds = [pa.int64()] * 4 + [pa.list_(pa.string()), pa.list_(block)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=out)
 
     base = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
-    names = ["id", "n_words", "n_base", "first_word", "last_word", "base", "lines"]
+    out = ["id", "n_words", "n_base", "first_word", "last_word", "base", "blocks"]
     found = map_arrow(base, work, f"id {dict(base.dtypes)['id']}, n_words long, n_base long, first_word long, last_word long, "
-                                  "base array<string>, lines array<struct<line int, ranks array<int>>>")
-    found = materialise(found.withColumn("uid", F.monotonically_increasing_id()), "license-lines")
+                                  "base array<string>, blocks array<struct<span int, start long, ranks array<int>>>")
+    found = materialise(found.withColumn("uid", F.monotonically_increasing_id()), "license-blocks")
 
     spark = docs.sparkSession
     index = F.broadcast(spark.createDataFrame(  # a row for each prefix word of each template
-        [(k, label, r, need, i, r[i]) for k, (label, r, need) in enumerate(ordered) for i in range(len(r) - need + 1)],
-        "template int, label string, t_ranks array<int>, need int, i int, rank int"))
-    lines = found.select("uid", F.explode("lines").alias("at")).select("uid", "at.line", "at.ranks")
-    probes = lines.select("uid", "line", "ranks", F.posexplode("ranks").alias("j", "rank"))
+        [(k, t.label, t.span, r, sorted(rank[w] for w in t.required), need, i, r[i])
+         for k, (t, r, need) in enumerate(ordered) for i in range(len(r) - need + 1)],
+        "template int, label string, span int, t_ranks array<int>, required array<int>, need int, i int, rank int"))
+    blocks = found.select("uid", F.explode("blocks").alias("at")).select("uid", "at.span", "at.start", "at.ranks")
+    probes = blocks.select("uid", "span", "start", "ranks", F.posexplode("ranks").alias("j", "rank"))
     t, b, i, j = F.size("t_ranks"), F.size("ranks"), F.col("i"), F.col("j")
     room = F.least(i, j) + 1 + F.least(t - i - 1, b - j - 1)
-    pairs = (probes.join(index, "rank").where((b >= F.col("need")) & (j < b - F.col("need") + 1) & (room >= F.col("need")))
-             .select("uid", "line", "template", "label", "need", "ranks", "t_ranks").dropDuplicates(["uid", "line", "template"]))
+    pairs = (probes.join(index, ["span", "rank"]).where((b >= F.col("need")) & (j < b - F.col("need") + 1) & (room >= F.col("need")))
+             .select("uid", "span", "start", "template", "label", "need", "ranks", "t_ranks", "required")
+             .dropDuplicates(["uid", "span", "start", "template"]))
     overlap = F.size(F.array_intersect("ranks", "t_ranks"))
-    hits = (pairs.withColumn("overlap", overlap).where("overlap >= need")
+    hits = (pairs.withColumn("overlap", overlap).where((F.col("overlap") >= F.col("need")) & (F.size(F.array_except("required", "ranks")) == 0))
             .groupBy("uid").agg(F.collect_set("label").alias("matched"), F.max(F.col("overlap") / F.size("t_ranks")).alias("best"),
-                                F.countDistinct("line").alias("n_lines")))
-    joined = found.drop("lines").join(hits, "uid", "left")
+                                F.countDistinct("span", "start").alias("n_blocks")))
+    joined = found.drop("blocks").join(hits, "uid", "left")
     text_of = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
     none = F.array().cast("array<string>")
     return joined.select(
         F.col("id").alias(id_col), "n_words", "n_base", "first_word", "last_word", text_of(F.col("base")).alias("base_labels"),
         text_of(F.concat("base", F.coalesce("matched", none))).alias("labels"),
         F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
-        F.coalesce("n_lines", F.lit(0)).cast("bigint").alias("n_template_lines"))
+        F.coalesce("n_blocks", F.lit(0)).cast("bigint").alias("n_template_blocks"))
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,24 +194,27 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    """The same rows in SQL, by comparing every line with every template."""
-    rows = ", ".join(f"({k}, '{label}', {[t.decode() for t in sorted(s)]})" for k, (label, s) in enumerate(template_sets(TEMPLATES)))
+    """The same rows in SQL, by comparing every block with every template of its span."""
+    plain = lambda s: [w.decode() for w in sorted(s)]
+    rows = ", ".join(f"('{t.label}', {t.span}, {plain(t.words)}, {plain(t.required)}::VARCHAR[])" for t in template_sets(TEMPLATES, NAMES))
     spots = ", ".join(f"({len(words(p.encode()))}, '{' '.join(x.decode() for x in words(p.encode()))}', '{label}')" for p, label in PHRASES.items())
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return re.sub(r"\n +", "\n", f"""
-    WITH t(k, label, ws) AS (VALUES {rows}), p(n, phrase, label) AS (VALUES {spots}),
+    WITH t(label, span, ws, required) AS (VALUES {rows}), p(n, phrase, label) AS (VALUES {spots}),
     d AS (SELECT row_number() OVER () AS u, doc_id, {lower} AS x, regexp_extract_all({lower}, {word}) AS w FROM documents),
     spot AS (SELECT u, i, label FROM (SELECT u, w, unnest(range(1, len(w) + 1)) AS i FROM d) JOIN p ON array_to_string(w[i:i + n - 1], ' ') = phrase),
     b AS (SELECT u, count(*) AS n, min(i) - 1 AS lo, max(i) - 1 AS hi, list(DISTINCT label) AS base FROM spot GROUP BY u),
-    l AS (SELECT u, list_distinct(regexp_extract_all(line, {word})) AS ws, k FROM (SELECT u, unnest(string_split(x, chr(10))) AS line,
-          unnest(range(1, len(string_split(x, chr(10))) + 1)) AS k FROM d)),
-    m AS (SELECT u, l.k AS line, label, len(list_intersect(l.ws, t.ws)) AS o, len(t.ws) AS s FROM l, t WHERE len(list_intersect(l.ws, t.ws)) >= {THRESHOLD} * len(t.ws) - 1e-9),
-    h AS (SELECT u, list(DISTINCT label) AS found, max(o / s) AS best, count(DISTINCT line) AS lines FROM m GROUP BY u)
+    s AS (SELECT DISTINCT span FROM t),
+    l AS (SELECT u, span, a, list_distinct(w[a + 1:a + 2 * span]) AS ws FROM (
+          SELECT u, span, w, unnest(range(0, greatest(len(w) - span, 1), span)) AS a FROM d, s WHERE len(w) > 0)),
+    m AS (SELECT u, l.span, a, label, len(list_intersect(l.ws, t.ws)) AS o, len(t.ws) AS n FROM l JOIN t USING (span)
+          WHERE len(list_intersect(l.ws, t.ws)) >= {THRESHOLD} * len(t.ws) - 1e-9 AND list_has_all(l.ws, t.required)),
+    h AS (SELECT u, list(DISTINCT label) AS found, max(o / n) AS best, count(DISTINCT (span, a)) AS blocks FROM m GROUP BY u)
     SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
       array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
       array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(found, [])))), ',') AS labels,
-      CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score, coalesce(h.lines, 0)::BIGINT AS n_template_lines
+      CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score, coalesce(h.blocks, 0)::BIGINT AS n_template_blocks
     FROM d LEFT JOIN b USING (u) LEFT JOIN h USING (u)""")
 
 

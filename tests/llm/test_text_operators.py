@@ -36,19 +36,63 @@ def test_license_phrases_and_templates(spark):
     assert rows[0]["n_words"] == 0 and rows[11]["n_words"] == 5004
 
 
+def blocks_with_templates(text, sets, threshold):
+    """{label: largest containment} and the number of blocks that hold a template, by comparing all."""
+    found, best, hits = license_scan.words(text.encode()), {}, set()
+    for t in sets:
+        for a in range(0, len(found), t.span):
+            if a and a + t.span >= len(found):
+                continue  # all of it stands in the block before
+            inside = set(found[a: a + 2 * t.span])
+            share = len(inside & t.words) / len(t.words)
+            if share >= threshold - 1e-9 and t.required <= inside:
+                hits.add((t.span, a))
+                best[t.label] = max(best.get(t.label, 0), share)
+    return best, len(hits)
+
+
 @pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 1.0])
-def test_license_join_finds_every_line_that_meets_the_threshold(spark, threshold):
+def test_license_join_finds_every_block_that_meets_the_threshold(spark, threshold):
     rng = random.Random(int(threshold * 10))
-    sets = license_scan.template_sets(license_scan.TEMPLATES)
-    words = sorted({w.decode() for _, s in sets for w in s}) + ["extra", "other"]
-    texts = ["\n".join(" ".join(rng.sample(words, rng.randrange(1, 30))) for _ in range(6)) for _ in range(60)]
-    for k, (_, s) in enumerate(sets):
-        some = sorted(w.decode() for w in s)
-        texts[k] += "\n" + " ".join(some[: max(1, round(len(some) * (threshold + 0.02)))])
-    got = {r["doc_id"]: r["labels"] for r in license_scan.scan(helpers.documents(spark, texts), phrases={}, threshold=threshold).collect()}
+    sets = license_scan.template_sets(license_scan.TEMPLATES, license_scan.NAMES)
+    words = sorted({w.decode() for t in sets for w in t.words}) + ["extra", "other"]
+    texts = ["\n".join(" ".join(rng.sample(words, rng.randrange(1, 30))) for _ in range(rng.randrange(40))) for _ in range(60)]
+    for k, t in enumerate(sets):
+        some = sorted(w.decode() for w in t.words)
+        texts[k] += "\n" + "\n".join(some[: max(1, round(len(some) * (threshold + 0.02)))])
+    rows = {r["doc_id"]: r for r in license_scan.scan(helpers.documents(spark, texts), phrases={}, threshold=threshold).collect()}
+    some = 0
     for k, t in enumerate(texts):
-        want = {label for line in t.split("\n") for label, s in sets if len(s & set(license_scan.words(line.encode()))) >= threshold * len(s) - 1e-9}
-        assert got[k] == ",".join(sorted(want))
+        best, n = blocks_with_templates(t, sets, threshold)
+        assert rows[k]["labels"] == ",".join(sorted(best)) and rows[k]["n_template_blocks"] == n
+        assert rows[k]["score"] == pytest.approx(max(best.values(), default=0.0))
+        some += bool(best)
+    assert some > 10
+
+
+def test_licenses_are_found_however_they_are_wrapped(spark):
+    rng = random.Random(3)
+    texts, want = [], []
+    for label, whole in license_scan.TEXTS.items():
+        seq = whole[0].split()
+        for width, lead, gap in ((5, "# ", "\n"), (11, " * ", "\n \n"), (len(seq), "", "\n")):
+            wrapped = gap.join(lead + " ".join(seq[k: k + width]) for k in range(0, len(seq), width))
+            texts.append(helpers.prose(rng, rng.randrange(700)) + " " + wrapped + " " + helpers.prose(rng, rng.randrange(700)))
+            want.append(label)
+    grant = license_scan.NOTICES["mit"][1]
+    texts.append(grant.replace("obtaining a copy", "obtaining a copy\n"))
+    want.append("mit")
+    rows = {r["doc_id"]: r for r in license_scan.scan(helpers.documents(spark, texts)).collect()}
+    for k, label in enumerate(want):
+        assert label in rows[k]["labels"].split(",") and rows[k]["score"] == 1.0
+
+
+def test_words_far_apart_or_without_the_name_are_no_license(spark):
+    rng = random.Random(8)
+    seq = license_scan.TEXTS["mit"][0].split()
+    texts = [" ".join(w + " " + helpers.prose(rng, 25) for w in seq), "Released under the BSD License",
+             license_scan.TEXTS["gpl-3"][0].replace("version 3", "version 2"), " ".join(seq[:12])]
+    assert [r["labels"] for r in license_scan.scan(helpers.documents(spark, texts)).orderBy("doc_id").collect()] == [""] * len(texts)
 
 
 def test_license_scan_of_nothing(spark):
