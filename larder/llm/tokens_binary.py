@@ -6,7 +6,8 @@ bounded sample of serialised id arrays; every document's ids are one frame of th
 any document can be read without its neighbours. Files are Parquet rows of blocks: first
 document's id and token start, the dictionary's hash, the frames one after another, and an
 index of ids, token starts and byte offsets. Blocks hold documents in ascending id order,
-files are ranges of ids; the dictionary is a file beside them, named by its hash.
+files are ranges of ids of about equal bytes; an id (or null) whose texts are larger than a file
+is divided by a hash of the text. The dictionary is a file beside them, named by its hash.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ import json
 import os
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +41,8 @@ LEVEL = 3
 SAMPLE_ROWS, SAMPLE_BYTES, DICT_BYTES = 1024, 8 << 20, 64 << 10
 #: Token bytes (before compression) of one output block and of one output file.
 BLOCK_BYTES, FILE_BYTES = 4 << 20, 64 << 20
+#: Quantiles of the ids for each file, joined by their bytes.
+FINE = 8
 _ENCODERS: dict[str, Encoder] = {}
 _PATTERN = regex.compile(public_tokenizers.PATTERN)
 #: Byte-level vocabularies write printable Latin-1 bytes as themselves, the others as the letters from 256 on.
@@ -115,6 +121,90 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
+@dataclass(frozen=True)
+class Ranges:
+    """File ranges in id order: segment ``k`` begins at id ``lows[k - 1]`` (segment 0 below all) and
+    its rows go to ``width[k]`` ranges from ``first[k]`` on; null ids come before all, in the first
+    ``nulls`` ranges, or in range 0 with the ids after them."""
+
+    lows: np.ndarray
+    first: np.ndarray
+    width: np.ndarray
+    nulls: int
+
+    @property
+    def count(self) -> int:
+        return int(self.first[-1] + self.width[-1])
+
+    def of(self, ids: pa.Array, texts: pa.Array) -> list[int]:
+        segment = np.searchsorted(self.lows, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), side="right")
+        first, width = self.first[segment], self.width[segment]
+        if ids.null_count:
+            none = ids.is_null().to_numpy(zero_copy_only=False)
+            first, width = np.where(none, 0, first), np.where(none, max(1, self.nulls), width)
+        found = first.copy()
+        for k in np.flatnonzero(width > 1).tolist():
+            found[k] += xxhash.xxh64_intdigest(texts[k].as_py() or "") % int(width[k])
+        return found.tolist()
+
+
+def pack_segments(lows: list[int], size: Mapping[int, int], null_size: int, file_bytes: int) -> Ranges:
+    """Join neighbouring segments up to ``file_bytes`` and divide larger ones that are a single id.
+
+    ``size`` holds the bytes of segment numbers (see ``Ranges``).
+    """
+    nulls = -(-null_size // file_bytes) if null_size > file_bytes else 0
+    kept, first, width, at, held = [], [], [], nulls, 0 if nulls else null_size
+    alone = False
+    for k in range(len(lows) + 1):
+        n = size.get(k, 0)
+        single = 0 < k < len(lows) and lows[k] == lows[k - 1] + 1
+        heavy = single and n > file_bytes
+        if first and not heavy and not alone and held + n <= file_bytes:
+            held += n
+            continue
+        if first:
+            at += width[-1]
+            kept.append(lows[k - 1])
+        first.append(at)
+        width.append(-(-n // file_bytes) if heavy else 1)
+        held, alone = n + (held if not first[:-1] else 0), heavy
+    return Ranges(np.array(kept, dtype=np.int64), np.array(first, dtype=np.int64), np.array(width, dtype=np.int64), nulls)
+
+
+def file_ranges(base: DataFrame, file_bytes: int) -> Ranges:
+    """Ranges of ``base`` (id, text) of about ``file_bytes`` of text, from the bytes of all rows.
+
+    The driver gets some numbers for each file: quantiles of the ids, ids of more than a file, and
+    the bytes between them.
+    """
+    sized = base.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n"))
+    total = sized.agg(F.sum("n")).first()[0] or 0
+    files = -(-total // file_bytes)
+    if files <= 1:
+        return pack_segments([], {}, 0, file_bytes)
+    fine = FINE * files
+    cuts = set(map(int, base.stat.approxQuantile("id", [k / fine for k in range(1, fine)], 0.2 / fine)))
+    heavy = sized.groupBy("id").agg(F.sum("n").alias("n")).where((F.col("n") > file_bytes) & F.col("id").isNotNull())
+    for r in heavy.collect():  # fewer than files
+        cuts |= {r["id"], r["id"] + 1} if r["id"] < 2**63 - 1 else {r["id"]}
+    lows = sorted(cuts)
+    bounds = np.array(lows, dtype=np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(bounds) + 2, dtype=np.int64)
+        for batch in batches:
+            ids = batch.column("id")
+            segment = np.searchsorted(bounds, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), side="right") + 1
+            np.add.at(sums, np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, segment), batch.column("n").to_numpy())
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at - 1, pa.int64()), pa.array(sums[at], pa.int64())], names=["segment", "n"])
+
+    parts = map_arrow(sized, count, "segment long, n long")
+    size = {r["segment"]: r["n"] for r in parts.groupBy("segment").agg(F.sum("n").alias("n")).collect()}
+    return pack_segments(lows, size, size.pop(-1, 0), file_bytes)
+
+
 BLOCK_SCHEMA = ("range int, first_start long, dict_hash string, ids array<long>, starts array<long>, "
                 "offsets array<long>, frames binary")
 
@@ -122,8 +212,8 @@ BLOCK_SCHEMA = ("range int, first_start long, dict_hash string, ids array<long>,
 def write_tokens(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> None:
     """Encode, compress and write all rows of ``docs`` under ``out`` (``blocks`` and ``dictionary``).
 
-    Rows are in ascending id order, null ids first, rows of one id in text order. An empty
-    table gives no blocks. One document's ids must fit a task's memory.
+    Rows are in ascending id order, null ids first, rows of one id in an order that follows from
+    their texts. An empty table gives no blocks. One document's ids must fit a task's memory.
     """
     base = docs.select(quoted(id_col).cast("bigint").alias("id"), quoted(text_col).alias("text"))
     raw = train_dictionary(base, path)
@@ -131,6 +221,8 @@ def write_tokens(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", t
     spark = docs.sparkSession
     spark.createDataFrame([(digest, bytearray(raw))], "hash string, dictionary binary").coalesce(1).write.parquet(f"{out}/dictionary")
     shared = spark.sparkContext.broadcast(raw)  # DICT_BYTES at most
+    ranges = file_ranges(base, FILE_BYTES // 2)  # a token has four bytes, and about two bytes of text
+    bounds = spark.sparkContext.broadcast(ranges)  # some numbers for each file
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shared.value))
@@ -138,18 +230,12 @@ def write_tokens(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", t
             for part in slices(batch, "text"):
                 ids = encode_ids(part.column("text"), path, end_id)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array(map(packer.compress, ids), pa.binary())],
-                    names=["id", "n", "frame"])
-
-    packed = map_arrow(base, squeeze, "id long, n long, frame binary")
-    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = max(1, -(-4 * total // (2 * FILE_BYTES)))  # a token has about two bytes of text
-    cuts = base.stat.approxQuantile("id", [k / files for k in range(1, files)], 0.1 / files) if files > 1 else []
-    at = F.lit(0)
-    for c in sorted(set(cuts)):
-        at = at + F.when(F.col("id") > F.lit(int(c)), 1).otherwise(0)
-    ranged = packed.withColumn("range", at if len(cuts) < 64 else F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col("id"))))
-    ranged = ranged.repartitionById(files, "range").sortWithinPartitions("range", "id", "n", "frame")
+                    [pa.array(bounds.value.of(part.column("id"), part.column("text")), pa.int32()), part.column("id"),
+                     pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array(map(packer.compress, ids), pa.binary())],
+                    names=["range", "id", "n", "frame"])
+
+    packed = map_arrow(base, squeeze, "range int, id long, n long, frame binary")
+    ranged = packed.repartitionById(ranges.count, "range").sortWithinPartitions("range", "id", "n", "frame")
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []

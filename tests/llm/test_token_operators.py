@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -107,3 +108,47 @@ def test_token_files_with_null_and_repeated_ids(spark, tmp_path):
     ends = [s + n for _, s, n in rows]
     assert [s for _, s, _ in rows] == [0, *ends[:-1]]
     assert len(tokens_binary.lookup(spark, out, 3)) == 3
+
+
+def test_files_are_cut_by_bytes_and_a_hot_id_is_divided(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokens_binary, "FILE_BYTES", 8000)
+    rng = random.Random(12)
+    rows = [(k, helpers.prose(rng, 3 if k < 600 else 150)) for k in range(650)]  # the long texts have the largest ids
+    rows += [(None, helpers.prose(rng, 30)) for _ in range(200)] + [(300, helpers.prose(rng, 30)) for _ in range(300)] + [(2**63 - 1, "last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = str(tmp_path / "tokens")
+    tokens_binary.write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), out)
+    got = sorted((r["start"], r["n_tokens"], r["id"], r["ids_crc32"]) for r in tokens_binary.read_digests(spark, out).collect())
+    assert [s for s, *_ in got] == [0, *np.cumsum([n for _, n, *_ in got]).tolist()[:-1]]
+    order = [i for *_, i, _ in got]
+    assert order == [None] * 200 + sorted(i for i, _ in rows if i is not None)
+    whole = library()
+    want = sorted((i is not None, i or 0, zlib.crc32(le(whole.encode(t, add_special_tokens=False).ids + [0]))) for i, t in rows)
+    assert sorted((i is not None, i or 0, c) for *_, i, c in got) == want
+    text_bytes: dict = {}
+    sizes = {c: len(t) for (_, t), c in zip(rows, (zlib.crc32(le(whole.encode(t, add_special_tokens=False).ids + [0])) for _, t in rows), strict=True)}
+    crcs = {(i, s): c for s, _, i, c in got}
+    assert len(crcs) == len(rows)
+    _, starts, _ = tokens_binary.read_blocks(spark, out)
+    begins = sorted(starts.values())
+    for s, _, _, c in got:
+        k = int(np.searchsorted(begins, s, side="right"))
+        text_bytes[k] = text_bytes.get(k, 0) + sizes[c]
+    assert len(text_bytes) > 10 and max(text_bytes.values()) < 2 * 4000
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_segments_keep_the_order_of_ids(seed):
+    rng = random.Random(seed)
+    lows = sorted(set(rng.choices(range(60), k=rng.randrange(0, 30))))
+    size = {k: rng.choice([0, 5, 30, 500]) for k in range(len(lows) + 1)}
+    r = tokens_binary.pack_segments(lows, size, rng.choice([0, 50, 900]), 100)
+    ids = pa.array([None] * 30 + [i for i in range(-2, 62) for _ in range(30)], pa.int64())
+    texts = pa.array([str(k) for k in range(len(ids))])
+    found: dict = {}
+    for i, x in zip(ids.to_pylist(), r.of(ids, texts), strict=True):
+        found.setdefault(-9 if i is None else i, set()).add(x)
+    spans = [(min(found[i]), max(found[i])) for i in sorted(found)]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False)) and 0 <= spans[0][0] and spans[-1][1] < r.count
+    assert all(b[0] > a[1] for a, b in zip(spans, spans[1:], strict=False) if a[1] > a[0])  # nothing follows in a divided id's ranges
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False) if b[1] > b[0])  # nor precedes
