@@ -72,15 +72,27 @@ class Encoder:
         self.memo = PieceMemo(self.encode_pieces)
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        whole = {p: b"" for p in pieces if not self.byte_level or any(t in p for t in self.added)}
+        joined = "\n".join(pieces)
+        added = [t for t in self.added if t in joined]
+        whole = {p: b"" for p in pieces if not self.byte_level or any(t in p for t in added)} if added or not self.byte_level else {}
         for p, e in zip(whole, self.tokenizer.encode_batch_fast(list(whole), add_special_tokens=False), strict=True):
             whole[p] = np.array(e.ids, dtype="<u4").tobytes()
-        split = [[] if p in whole else _PATTERN.findall(p) for p in pieces]
-        tokenize, packed, ids = self.tokenizer.model.tokenize, self.packed, {}
-        for w in set().union(*split):
-            letters = w.replace(" ", _BLANK) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_LETTERS)
-            ids[w] = b"".join([packed[t.id] for t in tokenize(letters)])
-        return [whole[p] if p in whole else ids[s[0]] if len(s) == 1 else b"".join([ids[w] for w in s]) for p, s in zip(pieces, split, strict=True)]
+        tokenize, packed, known = self.tokenizer.model.tokenize, self.packed, {}
+        found = []
+        for p in pieces:
+            if p in whole:
+                found.append(whole[p])
+            elif p.isascii() and p[:1] == " " and p[1:].isalpha():  # one match of the pattern
+                found.append(b"".join([packed[t.id] for t in tokenize(_BLANK + p[1:])]))
+            else:
+                ids = []
+                for w in _PATTERN.findall(p):
+                    if w not in known:
+                        letters = w.replace(" ", _BLANK) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_LETTERS)
+                        known[w] = b"".join([packed[t.id] for t in tokenize(letters)])
+                    ids.append(known[w])
+                found.append(b"".join(ids))
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
