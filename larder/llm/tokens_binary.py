@@ -19,6 +19,7 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import public_tokenizers
@@ -184,6 +185,33 @@ def pack_segments(lows: list[int], size: Mapping[int, int], null_size: int, file
     return Ranges(np.array(kept, dtype=np.int64), np.array(first, dtype=np.int64), np.array(width, dtype=np.int64), nulls)
 
 
+def _segments(batch: pa.RecordBatch, lows: np.ndarray) -> np.ndarray:
+    """Each row's segment by its id, -1 for null."""
+    ids = batch.column("id")
+    found = np.searchsorted(lows, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), side="right")
+    return np.where(ids.is_null().to_numpy(zero_copy_only=False), -1, found)
+
+
+def _in_segments(batches: Iterator[pa.RecordBatch], ends: np.ndarray, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array(np.isin(_segments(batch, ends), wanted)))
+
+
+def segment_bytes(sized: DataFrame, lows: list[int]) -> dict[int, int]:
+    """Bytes of each segment between ``lows`` that has any (-1: null ids)."""
+    bounds = np.array(lows, dtype=np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(len(bounds) + 2, dtype=np.int64)
+        for batch in batches:
+            np.add.at(sums, _segments(batch, bounds) + 1, batch.column("n").to_numpy())
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at - 1, pa.int64()), pa.array(sums[at], pa.int64())], names=["segment", "n"])
+
+    parts = map_arrow(sized, count, "segment long, n long")
+    return {r["segment"]: r["n"] for r in parts.groupBy("segment").agg(F.sum("n").alias("n")).collect()}
+
+
 def file_ranges(base: DataFrame, file_bytes: int) -> Ranges:
     """Ranges of ``base`` (id, text) of about ``file_bytes`` of text, from the bytes of all rows.
 
@@ -197,23 +225,15 @@ def file_ranges(base: DataFrame, file_bytes: int) -> Ranges:
         return pack_segments([], {}, 0, file_bytes)
     fine = FINE * files
     cuts = set(map(int, base.stat.approxQuantile("id", [k / fine for k in range(1, fine)], 0.2 / fine)))
-    heavy = sized.groupBy("id").agg(F.sum("n").alias("n")).where((F.col("n") > file_bytes) & F.col("id").isNotNull())
-    for r in heavy.collect():  # fewer than files
-        cuts |= {r["id"], r["id"] + 1} if r["id"] < 2**63 - 1 else {r["id"]}
     lows = sorted(cuts)
-    bounds = np.array(lows, dtype=np.int64)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(bounds) + 2, dtype=np.int64)
-        for batch in batches:
-            ids = batch.column("id")
-            segment = np.searchsorted(bounds, pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), side="right") + 1
-            np.add.at(sums, np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, segment), batch.column("n").to_numpy())
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at - 1, pa.int64()), pa.array(sums[at], pa.int64())], names=["segment", "n"])
-
-    parts = map_arrow(sized, count, "segment long, n long")
-    size = {r["segment"]: r["n"] for r in parts.groupBy("segment").agg(F.sum("n").alias("n")).collect()}
+    size = segment_bytes(sized, lows)
+    large = [k for k, n in size.items() if n > file_bytes and k >= 0]
+    if large:  # these may hold an id of more than a file; there are fewer of them than files
+        ends = np.array(lows, dtype=np.int64)
+        inside = map_arrow(sized, partial(_in_segments, ends=ends, wanted=np.array(large)), "id long, n long")
+        heavy = [r["id"] for r in inside.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") > file_bytes).collect()]
+        lows = sorted({*lows, *heavy, *(i + 1 for i in heavy if i < 2**63 - 1)})
+        size = segment_bytes(sized, lows) if heavy else size
     return pack_segments(lows, size, size.pop(-1, 0), file_bytes)
 
 
