@@ -25,8 +25,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_arrow, quoted, slices, table
-from .pieces import PieceMemo
+from .common import map_arrow, quoted, slices, table, without_gc
+from .pieces import LETTERS, PieceMemo
 
 #: Words that one recursive query contracts at a time, and rows that all its steps may have.
 QUERY_WORDS, QUERY_ROWS = 10_000, 4_000_000
@@ -72,6 +72,8 @@ class Coder:
         if any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes")
         self.pattern = regex.compile(pattern)
+        #: Whether the pattern is the vocabularies': a blank and letters are one match wherever they stand.
+        self.plain = pattern == public_tokenizers.PATTERN
         self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         pairs = [(self.ranks[w[:k]] << 20 | self.ranks[w[k:]], r) for w, r in self.ranks.items() for k in range(1, len(w))
                  if w[:k] in self.ranks and w[k:] in self.ranks]
@@ -165,12 +167,17 @@ class Coder:
                 out[k] = flat[a:b]
         return out
 
+    @without_gc
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces: of the words the pattern finds in them."""
-        split = [self.pattern.findall(p) for p in pieces]
-        words = list({w for s in split for w in s})
-        ids = dict(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
-        return [b"".join([ids[w] for w in s]) for s in split]
+        findall = self.pattern.findall
+        split = [[p] if self.plain and LETTERS(p) else findall(p) for p in pieces]
+        ids = {w: self.memo.word(w) if self.plain else None for s in split for w in s}
+        new = [w for w, known in ids.items() if known is None]
+        ids.update(zip(new, self.encode_words([w.encode() for w in new]), strict=True))
+        if self.plain:
+            self.memo.keep_words(ids)
+        return [ids[s[0]] if len(s) == 1 else b"".join([ids[w] for w in s]) for s in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""

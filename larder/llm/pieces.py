@@ -12,26 +12,42 @@ from collections.abc import Callable
 
 #: A blank or line end after a character other than white space begins a piece; so does the text.
 PIECE = re.compile(r"(?:\A|[ \n])\s*\S*(?:[^\S \n]\s*\S*)*")
+#: Letters alone, with a blank before them or not, are one match of the vocabularies' pattern.
+LETTERS = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 _SIDE_BY_SIDE = re.compile(r"\s\s")
 #: Encoded pieces that one Python worker remembers.
 MEMO_ROWS = 800_000
 
 
 class PieceMemo:
-    """Encodes texts by ``encode_pieces``, which gets each new piece once."""
+    """Encodes texts by ``encode_pieces``, which gets each piece that is not remembered once.
+
+    Pieces are kept in two halves: when the newer is full it becomes the older one, whose
+    pieces come over as texts ask for them. So pieces in use stay, those seen once go.
+    """
 
     def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], rows: int = MEMO_ROWS):
         self.encode_pieces, self.rows = encode_pieces, rows
         self.whole: dict[str, bytes] = {}  # piece -> ids
         self.after: dict[str, bytes] = {}  # piece without the blank it begins with, or from its line end on -> ids
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+
+    def word(self, word: str) -> bytes | None:
+        """The ids of a word, if it is a blank and letters (so a piece) and remembered."""
+        if word[:1] != " " or not word[1:].isalpha():
+            return None
+        return self.after.get(word[1:]) or self.older[1].get(word[1:])
+
+    def keep_words(self, ids: dict[str, bytes]) -> None:
+        """Remember words of a blank and letters: each is also a piece."""
+        self.after.update((w[1:], i) for w, i in ids.items() if w[:1] == " " and w[1:].isalpha())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole, after = self.whole, self.after
-        if len(whole) + len(after) > self.rows:
-            whole.clear()
-            after.clear()
+        if len(self.whole) + len(self.after) > self.rows // 2:
+            self.older, self.whole, self.after = (self.whole, self.after), {}, {}
+        (old_whole, old_after), whole, after = self.older, self.whole, self.after
         heads, tails = set(), set()
-        found: list[tuple[list[str], list[str], list[bytes] | None]] = []
+        found: list[tuple[list[str], list[str], list[bytes | None], list[int]]] = []
         for t in texts:
             if _SIDE_BY_SIDE.search(t):
                 pieces, rest = PIECE.findall(t), []
@@ -39,14 +55,18 @@ class PieceMemo:
                 first, *rest = t.replace("\n", " \n").split(" ")
                 pieces = [first]
             heads.update(pieces)
-            known = list(map(after.get, rest))
-            if None in known:
-                tails.update([p for p, ids in zip(rest, known, strict=True) if ids is None])
-                known = None
-            found.append((pieces, rest, known))
-        new_heads, new_tails = [p for p in heads if p not in whole], list(tails)
+            ids = list(map(after.get, rest))
+            gaps = [k for k, i in enumerate(ids) if i is None] if None in ids else []
+            tails.update([rest[k] for k in gaps])
+            found.append((pieces, rest, ids, gaps))
+        for wanted, now, old in ((heads, whole, old_whole), (tails, after, old_after)):
+            now.update([(p, old[p]) for p in wanted if p in old and p not in now])
+        new_heads, new_tails = [p for p in heads if p not in whole], [p for p in tails if p not in after]
         ids = self.encode_pieces(new_heads + [p if p[:1] == "\n" else " " + p for p in new_tails])
         whole.update(zip(new_heads, ids, strict=False))
         after.update(zip(new_tails, ids[len(new_heads):], strict=True))
-        of_head, of_tail = whole.__getitem__, after.__getitem__
-        return [b"".join([*map(of_head, pieces), *(map(of_tail, rest) if known is None else known)]) for pieces, rest, known in found]
+        for _, rest, ids, gaps in found:
+            for k in gaps:
+                ids[k] = after[rest[k]]
+        of_head = whole.__getitem__
+        return [b"".join([*map(of_head, pieces), *ids]) for pieces, _, ids, _ in found]

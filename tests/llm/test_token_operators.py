@@ -61,6 +61,20 @@ def test_random_bytes_of_text_and_long_words(reference, monkeypatch):
         coder.decode([le([2**31])])
 
 
+def test_pieces_in_use_and_words_stay_remembered(reference, monkeypatch):
+    own = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    own.memo.rows = 60
+    asked: list[bytes] = []
+    real = own.encode_words
+    monkeypatch.setattr(own, "encode_words", lambda words: asked.extend(words) or real(words))
+    for k in range(20):  # far more pieces seen once than are remembered, and one in every text
+        texts = [f"x oftenseen x{k}a y{k}b z{k}c, {'q' * (k + 1)}w oftenseen, oftenseen. r{k}d s{k}e t{k}f u{k}g"]
+        assert own.encode(texts) == [le(reference.encode_ordinary(t)) for t in texts]
+    assert asked.count(b" oftenseen") == 1  # not again with a comma, nor when the memory was full
+    assert len(own.memo.after) + len(own.memo.older[1]) < 60 + 20
+    own.close()
+
+
 def test_empty_tables(spark, tmp_path):
     docs = helpers.documents(spark, [])
     assert bpe.encode(docs, RANKS).count() == 0
