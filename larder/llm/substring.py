@@ -110,7 +110,11 @@ class Automaton:
             if length[to] == length[last] + 1:
                 return to
             return self._split(last, to, word)
-        now = self._state({}, 0, length[last] + 1, row)
+        now = len(following)  # a new state, as by _state
+        following.append({})
+        link.append(0)
+        length.append(length[last] + 1)
+        self.first.append(row)
         p = last
         while p != -1 and word not in following[p]:
             following[p][word] = now
@@ -139,16 +143,19 @@ class Automaton:
         state = matched = 0
         found = []
         for end, w in enumerate(words, 1 - window):
-            while state and w not in following[state]:
-                state = link[state]
-                matched = length[state]
             to = following[state].get(w)
+            if to is None and state:
+                while to is None and state:
+                    state = link[state]
+                    to = following[state].get(w)
+                matched = length[state]
             if to is None:
                 continue
             state, matched = to, matched + 1
-            while length[link[state]] >= window:  # the state of the last ``window`` words
-                state = link[state]
-                matched = length[state]
+            if matched > window:
+                while length[link[state]] >= window:  # the state of the last ``window`` words
+                    state = link[state]
+                    matched = length[state]
             if matched >= window and first[state] < row:
                 found.append(end)
         return found
