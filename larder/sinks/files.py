@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..sources import manifest
 from ..sources.files import CSV_DIALECT, DAY_KEY, day_dir, snapshot_path
-from ..storage import children, move, scratch_path
+from ..storage import children, move, plain_local_files, scratch_path
 
 
 def _cols(partition_by: str | Sequence[str] | None) -> list[str]:
@@ -51,7 +51,7 @@ def write_parquet(
         clustered = clustered.sortWithinPartitions(*cols, *sort_by)
     writer = clustered.write.mode(mode)
     if cols:
-        writer = writer.partitionBy(*cols)
+        writer = writer.partitionBy(*cols).options(**plain_local_files(df.sparkSession))
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:

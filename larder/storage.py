@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+LOCAL_FS_CONF = "fs.file.impl"
 
 
 def _is_local(master: str) -> bool:
@@ -94,6 +95,19 @@ def move(spark: SparkSession, path: str, target: str) -> None:
         raise RuntimeError(f"could not move {path} to {target}")
 
 
+def plain_local_files(spark: SparkSession) -> dict[str, str]:
+    """Writer options for a table of many small Parquet files on a local file system.
+
+    Without its native libraries Hadoop starts a process for each permission it sets: five for a
+    folder with a file and a checksum file, two without checksum files (Parquet pages hold their
+    own checksums). Other file systems do not read these options; a cluster's own class for
+    ``file:`` stays.
+    """
+    if spark._jsc.hadoopConfiguration().get(LOCAL_FS_CONF):
+        return {}
+    return {LOCAL_FS_CONF: "org.apache.hadoop.fs.RawLocalFileSystem", f"{LOCAL_FS_CONF}.disable.cache": "true"}
+
+
 def _stream_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)
