@@ -10,11 +10,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: A blank or line end after a character other than white space begins a piece; so does the text.
 PIECE = re.compile(r"(?:\A|[ \n])\s*\S*(?:[^\S \n]\s*\S*)*")
 #: Letters alone, with a blank before them or not, are one match of the vocabularies' pattern.
 LETTERS = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
-_SIDE_BY_SIDE = re.compile(r"\s\s")
+#: Two characters of white space (Python's, named one by one for Arrow's expressions).
+_SIDE_BY_SIDE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
 #: Encoded pieces that one Python worker remembers.
 MEMO_ROWS = 800_000
 
@@ -46,27 +51,32 @@ class PieceMemo:
         if len(self.whole) + len(self.after) > self.rows // 2:
             self.older, self.whole, self.after = (self.whole, self.after), {}, {}
         (old_whole, old_after), whole, after = self.older, self.whole, self.after
-        heads, tails = set(), set()
-        found: list[tuple[list[str], list[str], list[bytes | None], list[int]]] = []
-        for t in texts:
-            if _SIDE_BY_SIDE.search(t):
-                pieces, rest = PIECE.findall(t), []
-            else:  # as above, but a plain split finds the pieces
-                first, *rest = t.replace("\n", " \n").split(" ")
-                pieces = [first]
-            heads.update(pieces)
-            ids = list(map(after.get, rest))
-            gaps = [k for k, i in enumerate(ids) if i is None] if None in ids else []
-            tails.update([rest[k] for k in gaps])
-            found.append((pieces, rest, ids, gaps))
-        for wanted, now, old in ((heads, whole, old_whole), (tails, after, old_after)):
+        column = pa.array(texts, pa.large_string())
+        beside = pc.match_substring_regex(column, _SIDE_BY_SIDE).to_pylist()
+        found = [PIECE.findall(t) if b else [] for t, b in zip(texts, beside, strict=True)]
+        # elsewhere a plain split finds the pieces
+        words = pc.split_pattern(pc.replace_substring(column.filter(pc.invert(pa.array(beside, pa.bool_()))), "\n", " \n"), " ")
+        begin, flat = words.offsets.to_numpy(), words.values
+        first = np.zeros(len(flat), dtype=bool)
+        first[begin[:-1]] = True
+        heads = {p for pieces in found for p in pieces}
+        starts = flat.filter(pa.array(first)).to_pylist()
+        heads.update(starts)
+        tails = flat.filter(pa.array(~first)).dictionary_encode()  # each different word of these texts is looked up once
+        rest = tails.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(after.get, rest))
+        gaps = [k for k, i in enumerate(ids) if i is None] if None in ids else []
+        for wanted, now, old in ((heads, whole, old_whole), ([rest[k] for k in gaps], after, old_after)):
             now.update([(p, old[p]) for p in wanted if p in old and p not in now])
-        new_heads, new_tails = [p for p in heads if p not in whole], [p for p in tails if p not in after]
-        ids = self.encode_pieces(new_heads + [p if p[:1] == "\n" else " " + p for p in new_tails])
-        whole.update(zip(new_heads, ids, strict=False))
-        after.update(zip(new_tails, ids[len(new_heads):], strict=True))
-        for _, rest, ids, gaps in found:
-            for k in gaps:
-                ids[k] = after[rest[k]]
-        of_head = whole.__getitem__
-        return [b"".join([*map(of_head, pieces), *ids]) for pieces, _, ids, _ in found]
+        new_heads, new_tails = [p for p in heads if p not in whole], [rest[k] for k in gaps if rest[k] not in after]
+        encoded = self.encode_pieces(new_heads + [p if p[:1] == "\n" else " " + p for p in new_tails])
+        whole.update(zip(new_heads, encoded, strict=False))
+        after.update(zip(new_tails, encoded[len(new_heads):], strict=True))
+        for k in gaps:
+            ids[k] = after[rest[k]]
+        joined = pa.array(ids, pa.large_binary()).take(tails.indices)
+        _, ends, data = joined.buffers()
+        data = memoryview(data or b"")
+        at = np.frombuffer(ends, dtype=np.int64, count=len(joined) + 1)[begin - np.arange(len(begin))].tolist()
+        split = (whole[p] + data[i:j] for p, i, j in zip(starts, at, at[1:], strict=False))
+        return [b"".join(map(whole.__getitem__, pieces)) if b else next(split) for pieces, b in zip(found, beside, strict=True)]

@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping
@@ -50,6 +51,10 @@ _PATTERN = regex.compile(public_tokenizers.PATTERN)
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _BLANK = _LETTERS[0x20]
+#: Letters with one full stop or comma after them or none: the letters and the mark are matches of the pattern.
+_PLAIN = re.compile("([ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+#: Rows that are encoded together: a word that they share is looked up once.
+ENCODE_ROWS = 1024
 
 
 class Encoder:
@@ -86,8 +91,8 @@ class Encoder:
             elif p.isascii() and p[:1] == " " and p[1:].isalpha():  # one match of the pattern
                 found.append(b"".join([packed[t.id] for t in tokenize(_BLANK + p[1:])]))
             else:
-                ids = []
-                for w in _PATTERN.findall(p):
+                ids, plain = [], _PLAIN(p)
+                for w in (plain.groups() if plain[2] else (p,)) if plain else _PATTERN.findall(p):
                     if w not in known:
                         letters = w.replace(" ", _BLANK) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_LETTERS)
                         known[w] = b"".join([packed[t.id] for t in tokenize(letters)])
@@ -259,7 +264,7 @@ def write_tokens(docs: DataFrame, path: str, out: str, id_col: str = "doc_id", t
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(shared.value))
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ENCODE_ROWS):
                 ids = encode_ids(part.column("text"), path, end_id)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bounds.value.of(part.column("id"), part.column("text")), pa.int32()), part.column("id"),

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import base64
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from larder.llm import bpe, tokens_binary
+from larder.llm import bpe, pieces, tokens_binary
 from tests.llm import helpers
 
 RANKS = public_tokenizers.path(bpe.VOCABULARY)
@@ -166,3 +168,24 @@ def test_segments_keep_the_order_of_ids(seed):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False)) and 0 <= spans[0][0] and spans[-1][1] < r.count
     assert all(b[0] > a[1] for a, b in zip(spans, spans[1:], strict=False) if a[1] > a[0])  # nothing follows in a divided id's ranges
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False) if b[1] > b[0])  # nor precedes
+
+
+def test_a_word_is_looked_up_once_for_texts_encoded_together():
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counting.asked += 1
+            return super().get(*a)
+
+    coder = tokens_binary.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one two, trois\nété fünf." * 3] * 50 + ["a  b \x1c c", "", " lead", "trail "]
+    coder.memo.after = Counting()
+    assert coder.encode(texts) == [le(library().encode(t, add_special_tokens=False).ids) for t in texts]
+    assert Counting.asked <= 12
+
+
+def test_white_space_side_by_side_is_that_of_python():
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    found = pc.match_substring_regex(pa.array([c + "\n" for c in chars]), pieces._SIDE_BY_SIDE).to_pylist()
+    assert [c for c, f in zip(chars, found, strict=True) if f] == [c for c in chars if re.match(r"\s", c)]
